@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -23,6 +24,9 @@ KELVIN_OFFSET = 273.15
 UNSIGNED_NUMBER_PATTERN = r"(\d+(?:\.\d+)?)"
 DASHES = "–—−"
 
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200b))
+
 _INTEGER = r"[+-]?\d+"
 _NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 _SEGMENT_CHARS = r"[\d.+\-eEx^ ]"
@@ -32,7 +36,7 @@ _POWER_TOKEN = r"[+-]?\d*\.?\d+\s*x\s*10\^?[+-]?\d+"
 
 def strip(text: Column) -> Column:
     """Trim white space of any kind, the no-break space included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def lower_stripped(text: Column) -> Column:
@@ -40,10 +44,7 @@ def lower_stripped(text: Column) -> Column:
 
 
 def contains_any(text: Column, words) -> Column:
-    found = F.lit(False)
-    for word in words:
-        found = found | text.contains(word)
-    return found
+    return text.rlike("|".join(re.escape(word) for word in words))
 
 
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
@@ -145,57 +146,71 @@ def temperature_simple(text: Column) -> Column:
             .when(kelvin, number - KELVIN_OFFSET).otherwise(number))
 
 
-def temperature_prepass(text: Column) -> Column:
-    """Lower-case text without pH remarks; room temperature spelled out as a number with unit."""
-    t = F.regexp_replace(lower_stripped(text), PH_IN_TEMPERATURE_PATTERN, "")
-    given = first_match(t, r"(\d+(\.\d+)?)(?U:\s*)°?(?U:\s*)c")
-    return (F.when(t.rlike(ROOM_TEMPERATURE_PATTERN),
+def temperature_prepass(lowered: Column) -> Column:
+    """Text without pH remarks; room temperature spelled out as a number with unit.
+
+    Expects :func:`without_ph` text.
+    """
+    given = first_match(lowered, r"(\d+(\.\d+)?)(?U:\s*)°?(?U:\s*)c")
+    return (F.when(lowered.rlike(ROOM_TEMPERATURE_PATTERN),
                    F.coalesce(F.concat(given, F.lit("°C")), F.lit("22°C")))
-            .when(t.contains(TEMPERATURE_MISSING), F.lit(None).cast("string"))
-            .otherwise(F.btrim(t, F.lit(" ,;()[]"))))
+            .when(lowered.contains(TEMPERATURE_MISSING), F.lit(None).cast("string"))
+            .otherwise(F.btrim(lowered, F.lit(" ,;()[]"))))
+
 
+def without_ph(text: Column) -> Column:
+    return F.regexp_replace(lower_stripped(text), PH_IN_TEMPERATURE_PATTERN, "")
 
-def _spaced(text: Column) -> Column:
+
+def spaced(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\s+", " ")
 
 
-def numeric_segment(text: Column, strict_parity: bool = False) -> tuple[Column, Column]:
-    """The leading numeric part of a text, and whether anything (a unit) follows it.
+def segment_text(text: Column) -> Column:
+    """The text as :func:`numeric_segment` reads it: single blanks, one kind of times sign."""
+    return spaced(F.translate(strip(text), "×X", "xx"))
+
+
+def numeric_segment(text: Column, strict_parity: bool = False) -> Column:
+    """Struct of the leading numeric part of a text and of whether anything (a unit) follows it.
 
     ``to`` joins two numbers. With ``strict_parity`` it counts letter by letter, as a class of
     single characters, so that ``20 to 25`` ends after 20.
     """
     joint = "[-–—to]" if strict_parity else "(?:[-–—]|to)"
     pattern = rf"(?i)^\s*({_SEGMENT_CHARS}+(?:\s*(?:±|{joint})\s*{_SEGMENT_CHARS}+)?)\s*(.*)$"
-    t = _spaced(F.translate(strip(text), "×X", "xx"))
-    matches = t.rlike(pattern)
-    segment = F.when(matches, F.btrim(F.regexp_extract(t, pattern, 1))).otherwise(t)
-    had_unit = F.when(matches, F.btrim(F.regexp_extract(t, pattern, 2)) != "").otherwise(F.lit(False))
-    return F.coalesce(segment, F.lit("")), F.coalesce(had_unit, F.lit(False))
+    segment = F.btrim(F.regexp_extract(text, pattern, 1))
+    rest = F.btrim(F.regexp_extract(text, pattern, 2))
+    found = F.struct(segment.alias("segment"), (rest != "").alias("had_unit"))
+    whole = F.struct(F.coalesce(text, F.lit("")).alias("segment"), F.lit(False).alias("had_unit"))
+    return F.when(text.rlike(rf"(?i)^\s*{_SEGMENT_CHARS}"), found).otherwise(whole)
 
 
-def _token_value(token: Column) -> Column:
-    mantissa = first_match(token, r"^([+-]?\d*\.?\d+)\s*x\s*10\^?([+-]?\d+)$", 1).try_cast("double")
-    exponent = first_match(token, r"^([+-]?\d*\.?\d+)\s*x\s*10\^?([+-]?\d+)$", 2).try_cast("int")
-    return F.coalesce(to_double(token), mantissa * F.pow(F.lit(10.0), exponent))
-
-
-def numeric_or_range(text: Column, strict_parity: bool = False) -> Column:
-    """One number, a number without its ± part, or the midpoint of a range.
+def number_tokens(segment: Column, strict_parity: bool = False) -> Column:
+    """The numbers of a segment as texts.
 
     A dash between two numbers parts a range and ``a x 10^b`` is one number. With
     ``strict_parity`` the dash is taken as a sign and the power form as three numbers.
     """
-    t = F.lower(F.translate(_spaced(text), "×X" + DASHES, "xx" + "-" * len(DASHES)))
+    t = F.lower(F.translate(spaced(segment), "×X" + DASHES, "xx" + "-" * len(DASHES)))
     t = F.regexp_replace(t, r"\bto\b", "-")
     t = F.regexp_replace(t, r"\s*±\s*[\d.e+\-]+", "")
-    tokens = f"({_PLAIN_TOKEN})"
-    if not strict_parity:
-        t = F.regexp_replace(t, r"([\d.])\s*-\s*([\d.])", "$1 ~ $2")
-        tokens = f"({_POWER_TOKEN}|{_PLAIN_TOKEN})"
-    found = F.regexp_extract_all(t, F.lit(tokens), 1)
-    first, second = _token_value(F.get(found, 0)), _token_value(F.get(found, 1))
-    return F.when(F.size(found) == 1, first).when(F.size(found) > 1, (first + second) / 2)
+    if strict_parity:
+        return F.regexp_extract_all(t, F.lit(f"({_PLAIN_TOKEN})"), 1)
+    t = F.regexp_replace(t, r"([\d.])\s*-\s*([\d.])", "$1 ~ $2")
+    return F.regexp_extract_all(t, F.lit(f"({_POWER_TOKEN}|{_PLAIN_TOKEN})"), 1)
+
+
+def number_of_tokens(tokens: Column) -> Column:
+    """One number, or the midpoint of the first two."""
+    first, second = _token_value(F.get(tokens, 0)), _token_value(F.get(tokens, 1))
+    return F.when(F.size(tokens) == 1, first).when(F.size(tokens) > 1, (first + second) / 2)
+
+
+def _token_value(token: Column) -> Column:
+    power = r"^([+-]?\d*\.?\d+)\s*x\s*10\^?([+-]?\d+)$"
+    mantissa, exponent = (first_match(token, power, 1).try_cast("double"), first_match(token, power, 2).try_cast("int"))
+    return F.when(token.contains("x"), mantissa * F.pow(F.lit(10.0), exponent)).otherwise(to_double(token))
 
 
 def temperature_unit(text: Column, strict_parity: bool = False) -> Column:
@@ -208,18 +223,10 @@ def temperature_unit(text: Column, strict_parity: bool = False) -> Column:
             .when(text.rlike(lead + r"f\b"), "F"))
 
 
-def temperature_rich(text: Column, strict_parity: bool = False) -> Parsed:
-    """Numbers, ranges and ± forms in °C, K or °F, as °C; no unit text at all means °C."""
-    t = temperature_prepass(text)
-    unavailable = F.coalesce(strip(t) == "", F.lit(True))
-    segment, had_unit = numeric_segment(t, strict_parity)
-    number = numeric_or_range(segment, strict_parity)
-    unit = temperature_unit(t, strict_parity)
-    celsius = (F.when(unit == "C", number).when(unit == "K", number - KELVIN_OFFSET)
-               .when(unit == "F", (number - 32) * 5 / 9).when(~had_unit, number))
-    status = (F.when(unavailable, "unavailable").when(number.isNull(), "failed")
-              .when(unit.isNotNull(), "valid").when(~had_unit, "assumed").otherwise("unrecognized"))
-    return Parsed(F.when(~unavailable, celsius), status)
+def celsius(number: Column, unit: Column, had_unit: Column) -> Column:
+    """The number in °C; no unit text at all means °C, an unknown unit gives NULL."""
+    return (F.when(unit == "C", number).when(unit == "K", number - KELVIN_OFFSET)
+            .when(unit == "F", (number - 32) * 5 / 9).when(~had_unit, number))
 
 
 # --- dotted codes --------------------------------------------------------------------------------

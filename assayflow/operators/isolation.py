@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from assayflow import defaults
 from assayflow.functions.numbers import finite, flag
-from assayflow.operators.quantiles import ROWS_IN_ONE_TASK, medians, quantile_values
+from assayflow.operators.quantiles import ROWS_IN_ONE_TASK, exact_quantiles, quantile_values
 
 # Parameters of the published algorithm.
 TREES = 100
@@ -54,20 +54,20 @@ class IsolationForest:
         self.trees, self.sample = trees, sample
 
     def fit(self, df: DataFrame, limit: int = ROWS_IN_ONE_TASK) -> "FittedForest":
-        center = medians(df.select(*[finite(F.col(c)).alias(c) for c in self.columns]), self.columns, limit)
-        center = {c: 0.0 if m is None else m for c, m in center.items()}
-        samples = self._samples(df, center)
+        known = df.select(*[finite(F.col(c)).alias(n) for c, n in zip(self.columns, _names(self.columns))])
+        middle = exact_quantiles(known, known.columns, [0.5], limit=limit).first()
+        center = {c: (middle[f"q_{n}"] or [0.0])[0] for c, n in zip(self.columns, _names(self.columns))}
+        samples = self._samples(df, center, middle["n_rows"])
         grow = _grower(len(self.columns), self.sample, self.seed)
         nodes = samples.groupBy("tree").applyInPandas(grow, NODES).toPandas()
         return FittedForest(self, center, nodes.sort_values(["tree", "node"]))
 
-    def _samples(self, df: DataFrame, center: dict[str, float]) -> DataFrame:
+    def _samples(self, df: DataFrame, center: dict[str, float], n: int) -> DataFrame:
         """At most ``sample`` rows per tree, picked by a hash of the row id.
 
         A hash threshold thins the rows out before anything is shuffled. On large tables a row is a
         candidate for one tree; on small ones it may serve in several.
         """
-        n = df.count()
         ids = F.concat_ws("-", F.lit(self.seed), *[F.col(c).cast("string") for c in self.row_id])
         rows = df.select(ids.alias("id"), *_filled(self.columns, center))
         wanted = OVERSAMPLING * self.sample
@@ -177,9 +177,9 @@ class FittedForest:
         return found[0] if found else float("-inf")
 
     def flag(self, df: DataFrame, name: str = "iso", score: str | None = None,
-             limit: int = ROWS_IN_ONE_TASK, fitted_on: DataFrame | None = None) -> DataFrame:
-        """Flag rows whose score is strictly below the threshold."""
-        cut = self.threshold(df if fitted_on is None else fitted_on, limit)
+             threshold: float | None = None, limit: int = ROWS_IN_ONE_TASK) -> DataFrame:
+        """Flag rows whose score is strictly below the threshold, by default that of these rows."""
+        cut = self.threshold(df, limit) if threshold is None else threshold
         column = score or "_iso_score"
         scored = self.score(df, column).withColumn(name, flag(F.col(column) < F.lit(cut)))
         return scored if score else scored.drop(column)

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow import defaults as D
 from assayflow.functions.numbers import flag, log10_positive, safe_ratio
-from assayflow.operators.isolation import IsolationForest, isolation_features
+from assayflow.operators.isolation import FittedForest, IsolationForest, isolation_features
 from assayflow.operators.joins import join_groups
 from assayflow.operators.quantiles import ROWS_IN_ONE_TASK, exact_quantiles, quantile_values
 from assayflow.operators.stats import group_median_mad
+from assayflow.sources.tables import cut_lineage
 
 
 def any_of(predicates: Sequence[Column]) -> Column:
@@ -73,7 +75,8 @@ def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.
     """One row per group: size, quartiles per measure, flag rate per fence, and the chosen fence.
 
     Groups of at least ``min_group_size`` rows take the tightest fence that flags no more than
-    ``target_rate`` of their rows; NULL when none does. Smaller groups take ``fence``.
+    ``target_rate`` of their rows; NULL when none does. Smaller groups take ``fence``. The table is
+    written out, so that whatever uses it reads a few numbers per group and not the rows again.
     """
     logs = measures_of(df, a, b, use_ratio)
     rows = df.select(group, *[x.alias(name) for name, x in logs.items()])
@@ -89,7 +92,7 @@ def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.
     chosen = F.when(F.col("n_rows") < min_group_size, F.lit(float(fence)))
     for i, f in enumerate(fence_grid):
         chosen = chosen.when(F.col(f"rate_{i}") <= target_rate, F.lit(float(f)))
-    return rates.withColumn("fence", chosen)
+    return cut_lineage(rates.withColumn("fence", chosen))
 
 
 def adaptive_iqr(df: DataFrame, a: str = "kcat_value", b: str = "km_value", group: str | None = "enzyme", *,
@@ -171,8 +174,18 @@ def apply_outlier_strategy(df: DataFrame, *, row_id: Sequence[str], a: str = "kc
     if not isolation:
         return survivors
     columns = iso_columns or isolation_features(survivors)
-    flagged = IsolationForest(columns, row_id, contamination).fit(survivors).flag(survivors, "_iso", limit=limit)
-    return flagged.filter(~F.col("_iso")).drop("_iso")
+    forest, threshold = fit_forest(survivors, columns, row_id, contamination, limit)
+    return forest.flag(survivors, "_iso", threshold=threshold).filter(~F.col("_iso")).drop("_iso")
+
+
+def fit_forest(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], contamination: float,
+               limit: int) -> tuple[FittedForest, float]:
+    """The forest and its threshold. The columns it reads several times are kept until both are known."""
+    inputs = df.select(*dict.fromkeys([*row_id, *columns])).persist(StorageLevel.MEMORY_AND_DISK)
+    forest = IsolationForest(columns, row_id, contamination).fit(inputs, limit)
+    threshold = forest.threshold(inputs, limit)
+    inputs.unpersist()
+    return forest, threshold
 
 
 def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_value", b: str = "km_value",
@@ -203,8 +216,7 @@ def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_va
     if isolation:
         rest = labelled.filter(~F.col("_dom") & ~F.col("_kin"))
         columns = iso_columns or isolation_features(df)
-        forest = IsolationForest(columns, row_id, contamination).fit(rest)
-        threshold = forest.threshold(rest, limit=limit)
+        forest, threshold = fit_forest(rest, columns, row_id, contamination, limit)
         labelled = forest.score(labelled, "_score")
         iso = flag(F.col("_score") < F.lit(threshold))
     outcome = (F.when(F.col("_dom"), "domain_drop").when(F.col("_kin"), "kinetics_drop")
@@ -222,7 +234,8 @@ def independent_masks(df: DataFrame, *, a: str = "kcat_value", b: str = "km_valu
     if not isolation:
         return flags
     columns = iso_columns or isolation_features(df)
-    return IsolationForest(columns, row_id, contamination).fit(df).flag(flags, "iso", "iso_score", limit, fitted_on=df)
+    forest, threshold = fit_forest(df, columns, row_id, contamination, limit)
+    return forest.flag(flags, "iso", "iso_score", threshold)
 
 
 def priority_label(flags: dict[str, Column], order: Sequence[str], otherwise: str = "regular") -> Column:

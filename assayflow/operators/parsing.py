@@ -56,8 +56,25 @@ def standardize_temperature(df: DataFrame, column: str = "temperature", mode: st
     if mode == "simple":
         number = X.temperature_simple(text)
         return df.withColumns({value: number, status: _plain_status(text, number)})
-    parsed = X.temperature_rich(text, strict_parity)
-    return df.withColumns({value: parsed.value, status: parsed.status})
+    steps = temperature_steps(df, text, strict_parity)
+    number, unit, had_unit = F.col("_number"), F.col("_unit"), F.col("_segment.had_unit")
+    how = (F.when(F.col("_pre").isNull() | (F.col("_pre") == ""), "unavailable").when(number.isNull(), "failed")
+           .when(unit.isNotNull(), "valid").when(~had_unit, "assumed").otherwise("unrecognized"))
+    return steps.withColumns({value: X.celsius(number, unit, had_unit), status: how}).select(
+        *[c for c in df.columns if c not in (value, status)], value, status)
+
+
+def temperature_steps(df: DataFrame, text: Column, strict_parity: bool = False) -> DataFrame:
+    """Working columns ``_pre``, ``_segment``, ``_number`` and ``_unit``.
+
+    One projection per step, so that each pattern runs once per row.
+    """
+    return (df.withColumn("_lowered", X.without_ph(text))
+            .withColumn("_pre", X.strip(X.temperature_prepass(F.col("_lowered"))))
+            .withColumns({"_plain": X.segment_text(F.col("_pre")), "_unit": X.temperature_unit(F.col("_pre"), strict_parity)})
+            .withColumn("_segment", X.numeric_segment(F.col("_plain"), strict_parity))
+            .withColumn("_tokens", X.number_tokens(F.col("_segment.segment"), strict_parity))
+            .withColumn("_number", X.number_of_tokens(F.col("_tokens"))))
 
 
 def _plain_status(text: Column, number: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -85,6 +86,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write an intermediate result to the checkpoint folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write an intermediate result to the shared folder and go on from the written table.
+
+    Unlike a checkpointed plan, a written table has a known size, which decides later join strategies.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
             x = x.tolist()
         if isinstance(x, list):
             return repr([cell(i) for i in x])
-        if x is None or (isinstance(x, float) and x != x) or x is pd.NaT:
+        if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and x != x):
             return ""
         if isinstance(x, bool):
             return str(x)

@@ -1,4 +1,4 @@
-"""Scan, cleaning and projection queries."""
+"""Scan, cleaning and projection queries. Integers that may be NULL leave as double, in SQL as well."""
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -16,6 +16,10 @@ def _round(df, *columns, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _as_double(df, *columns):
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 @query("scan_clean", over("v_gaps", """
 select row_id, grp, case when isnan(a) then null else a end as a, b from v"""))
 def scan_clean(spark, sf_dir):
@@ -96,30 +100,30 @@ def missing_fraction(spark, sf_dir):
 
 
 @query("drop_sparse_columns", over("v_assay", """
-select row_id, grp, small_grp, a, b, ph_text, temp_text, similarity, code, id_text from v"""))
+select row_id, grp, small_grp, a, b, ph_text, temp_text, similarity::double as similarity, code, id_text from v"""))
 def drop_sparse_columns(spark, sf_dir):
-    return clean.drop_sparse_columns(view(spark, sf_dir, "v_assay"), 0.6)
+    return _as_double(clean.drop_sparse_columns(view(spark, sf_dir, "v_assay"), 0.6), "similarity")
 
 
-@query("null_tolerant_filter", over("v_assay", "select row_id, similarity from v where similarity is null or similarity >= 60"))
+@query("null_tolerant_filter", over("v_assay", "select row_id, similarity::double as similarity from v where similarity is null or similarity >= 60"))
 def null_tolerant_filter(spark, sf_dir):
     kept = clean.null_tolerant_filter(view(spark, sf_dir, "v_assay"), ["similarity", "not_there"], 60)
-    return kept.select("row_id", "similarity")
+    return _as_double(kept.select("row_id", "similarity"), "similarity")
 
 
 @query("basic_clean", over("v_assay", r"""
-select row_id, a, b, similarity, case when regexp_matches(id_text,'^[0-9]+$') then id_text::bigint
-  else nullif(regexp_extract(id_text,'^\[([0-9]+)',1),'')::bigint end as id_text
+select row_id, a, b, similarity::double as similarity, case when regexp_matches(id_text,'^[0-9]+$') then id_text::double
+  else nullif(regexp_extract(id_text,'^\[([0-9]+)',1),'')::double end as id_text
 from v where similarity is null or similarity >= 60"""))
 def basic_clean(spark, sf_dir):
     df = view(spark, sf_dir, "v_assay").select("row_id", "a", "b", "similarity", "sparse_col", "id_text", "grp")
-    return clean.basic_clean(df, ["a", "b"], ["grp"], ["id_text"], ["similarity"])
+    return _as_double(clean.basic_clean(df, ["a", "b"], ["grp"], ["id_text"], ["similarity"]), "similarity", "id_text")
 
 
-@query("numeric_projection", over("v_assay", "select small_grp, a, b, similarity from v"))
+@query("numeric_projection", over("v_assay", "select small_grp, a, b, similarity::double as similarity from v"))
 def numeric_projection(spark, sf_dir):
     df = view(spark, sf_dir, "v_assay")
-    return df.select(*clean.numeric_columns(df, ["sparse_col"]))
+    return _as_double(df.select(*clean.numeric_columns(df, ["sparse_col"])), "similarity")
 
 
 @query("feature_blocks", """
@@ -154,10 +158,10 @@ def log10(spark, sf_dir):
 
 @query("safe_ratio", over("v_gaps", """
 select row_id, case when isnan(a/nullif(b,0)) or isinf(a/nullif(b,0)) then null
- else round(a/nullif(b,0),6)+0.0 end as ratio from v"""))
+ else round(a/nullif(b,0),10)+0.0 end as ratio from v"""))
 def ratio(spark, sf_dir):
     return view(spark, sf_dir, "v_gaps").select(
-        "row_id", (F.round(safe_ratio(F.col("a"), F.col("b")), 6) + F.lit(0.0)).alias("ratio"))
+        "row_id", (F.round(safe_ratio(F.col("a"), F.col("b")), 10) + F.lit(0.0)).alias("ratio"))
 
 
 @query("ensure_column", "select event_id, cast(null as varchar) as sequence from events")
@@ -167,11 +171,11 @@ def ensure_column(spark, sf_dir):
 
 @query("derived_columns", """
 select l_orderkey, l_linenumber, round(log10(l_extendedprice),6) as log_price,
- round(l_extendedprice/l_quantity,4) as unit_price from lineitem""")
+ round(l_extendedprice/l_quantity,8) as unit_price from lineitem""")
 def derived_columns(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem").withColumns({
         "log_price": F.round(log10_positive(F.col("l_extendedprice")), 6),
-        "unit_price": F.round(safe_ratio(F.col("l_extendedprice"), F.col("l_quantity")), 4)})
+        "unit_price": F.round(safe_ratio(F.col("l_extendedprice"), F.col("l_quantity")), 8)})
     return df.select("l_orderkey", "l_linenumber", "log_price", "unit_price")
 
 

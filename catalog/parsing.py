@@ -94,24 +94,24 @@ def _counted(df, *columns):
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("first_int", over("v_dirty", f"select id_text, {SQL_FIRST_INT} as cid, count(*) as n from v group by all"))
+@query("first_int", over("v_dirty", f"select id_text, ({SQL_FIRST_INT})::double as cid, count(*) as n from v group by all"))
 def first_int(spark, sf_dir):
     df = view(spark, sf_dir, "v_dirty").select("id_text", F.col("id_text").alias("cid"))
-    return _counted(parsing.normalize_ids(df, ["cid"]), "id_text", "cid")
+    return _counted(parsing.normalize_ids(df, ["cid"]), "id_text", F.col("cid").cast("double").alias("cid"))
 
 
-@query("first_int_of_list", "select l_orderkey, l_linenumber, case when l_partkey%3>0 then l_partkey end as cid from lineitem")
+@query("first_int_of_list", "select l_orderkey, l_linenumber, case when l_partkey%3>0 then l_partkey::double end as cid from lineitem")
 def first_int_of_list(spark, sf_dir):
     df = spark.sql("""select l_orderkey, l_linenumber, case l_partkey%3 when 0 then cast(array() as array<bigint>)
                       when 1 then array(l_partkey, l_suppkey) else array(l_partkey) end as cid from {lineitem}""",
                    lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-    return parsing.normalize_ids(df, ["cid"])
+    return parsing.normalize_ids(df, ["cid"]).withColumn("cid", F.col("cid").cast("double"))
 
 
-@query("normalize_id", over("v_dirty", f"select id_text, {SQL_NORMAL_ID} as cid, count(*) as n from v group by all"))
+@query("normalize_id", over("v_dirty", f"select id_text, ({SQL_NORMAL_ID})::double as cid, count(*) as n from v group by all"))
 def normalize_id(spark, sf_dir):
     df = view(spark, sf_dir, "v_dirty").select("id_text", F.col("id_text").alias("cid"))
-    return _counted(parsing.normalize_ids(df, ["cid"], strict=True), "id_text", "cid")
+    return _counted(parsing.normalize_ids(df, ["cid"], strict=True), "id_text", F.col("cid").cast("double").alias("cid"))
 
 
 @query("clean_ph_simple", over("v_dirty", f"select ph_text, {SQL_PH_SIMPLE} as pH_value, count(*) as n from v group by all"))
@@ -135,22 +135,20 @@ def clean_ph_rich(spark, sf_dir):
 @query("temp_prepass", over("v_dirty", sql_temperature(False) + "select temp_text, pre, count(*) as n from r group by all"))
 def temp_prepass(spark, sf_dir):
     df = view(spark, sf_dir, "v_dirty")
-    return _counted(df, "temp_text", X.temperature_prepass(F.col("temp_text")).alias("pre"))
+    return _counted(df, "temp_text", X.temperature_prepass(X.without_ph(F.col("temp_text"))).alias("pre"))
 
 
 @query("numeric_segment", over("v_dirty", sql_temperature(False) + "select pre, seg, had_unit, count(*) as n from r group by all"))
 def numeric_segment(spark, sf_dir):
-    df = view(spark, sf_dir, "v_dirty").withColumn("pre", X.temperature_prepass(F.col("temp_text")))
-    segment, had_unit = X.numeric_segment(F.col("pre"))
-    return _counted(df, "pre", segment.alias("seg"), had_unit.alias("had_unit"))
+    df = parsing.temperature_steps(view(spark, sf_dir, "v_dirty"), F.col("temp_text"))
+    return _counted(df, F.col("_pre").alias("pre"), F.col("_segment.segment").alias("seg"),
+                    F.col("_segment.had_unit").alias("had_unit"))
 
 
 @query("numeric_or_range", over("v_dirty", sql_temperature(False) + "select seg, round(num,6) as num, count(*) as n from r group by all"))
 def numeric_or_range(spark, sf_dir):
-    df = view(spark, sf_dir, "v_dirty")
-    segment, _ = X.numeric_segment(X.temperature_prepass(F.col("temp_text")))
-    df = df.withColumn("seg", segment)
-    return _counted(df, "seg", F.round(X.numeric_or_range(F.col("seg")), 6).alias("num"))
+    df = parsing.temperature_steps(view(spark, sf_dir, "v_dirty"), F.col("temp_text"))
+    return _counted(df, F.col("_segment.segment").alias("seg"), F.round("_number", 6).alias("num"))
 
 
 RICH = "select temp_text, temperature_C, temperature_status, count(*) as n from r group by all"
@@ -181,17 +179,18 @@ def parse_status_counts(spark, sf_dir):
 
 
 @query("expand_code_levels", over("v_assay", """
-select row_id, code, try_cast(split_part(code,'.',1) as int) as code_level1, try_cast(split_part(code,'.',2) as int) as code_level2,
- try_cast(split_part(code,'.',3) as int) as code_level3, try_cast(nullif(split_part(code,'.',4),'-') as int) as code_level4 from v"""))
+select row_id, code, try_cast(split_part(code,'.',1) as double) as code_level1, try_cast(split_part(code,'.',2) as double) as code_level2,
+ try_cast(split_part(code,'.',3) as double) as code_level3, try_cast(nullif(split_part(code,'.',4),'-') as double) as code_level4 from v"""))
 def expand_code_levels(spark, sf_dir):
     df = view(spark, sf_dir, "v_assay").select("row_id", "code")
-    return parsing.expand_codes(df, "code")
+    levels = parsing.expand_codes(df, "code")
+    return levels.withColumns({c: F.col(c).cast("double") for c in levels.columns[2:]})
 
 
 @query("split_code_list", over("v_dirty", """
 , p as (select l_orderkey, l_linenumber, codes,
   case when codes is null or trim(codes) in ('','None','nan','NaN','null') then []
-   else list_filter(list_transform(string_split(codes, case when contains(codes,';') then ';' else ',' end), x -> trim(x)), x -> x<>'') end as l from v)
+   else list_filter(list_transform(string_split(codes, case when contains(codes,';') then ';' else ',' end), lambda x: trim(x)), lambda x: x<>'') end as l from v)
 select codes, array_to_string(l,'|') as joined, len(l) as n_codes, count(*) as n from p group by all"""))
 def split_code_list(spark, sf_dir):
     df = view(spark, sf_dir, "v_dirty").withColumn("l", X.code_list(F.col("codes")))
