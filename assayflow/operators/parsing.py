@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow.functions import text as X
+from assayflow.operators.joins import join_groups
+from assayflow.sources.tables import cut_lineage
+
+MAX_TEXT_BYTES = 8 * 1024 * 1024
 
 
 def first_int(column: Column, data_type: T.DataType) -> Column:
@@ -38,24 +42,48 @@ def _missing_input(df: DataFrame, column: str) -> Column:
 
 
 def standardize_ph(df: DataFrame, column: str = "pH", mode: str = "simple",
-                   value: str = "pH_value", status: str = "pH_status") -> DataFrame:
+                   value: str = "pH_value", status: str = "pH_status", per_text: bool = True) -> DataFrame:
     """Add the pH as a number. ``mode`` is 'simple' (first number) or 'rich' (words and ranges)."""
-    text = _missing_input(df, column)
-    if mode == "simple":
-        number = X.ph_simple(text)
-        return df.withColumns({value: number, status: _plain_status(text, number)})
-    parsed = X.ph_rich(text)
-    return df.withColumns({value: parsed.value, status: parsed.status})
+    def read(rows: DataFrame) -> DataFrame:
+        text = _missing_input(rows, column)
+        if mode == "simple":
+            number = X.ph_simple(text)
+            return rows.withColumns({value: number, status: _plain_status(text, number)})
+        parsed = X.ph_rich(text)
+        return rows.withColumns({value: parsed.value, status: parsed.status})
+
+    return _once_per_text(df, column, read) if per_text else read(df)
 
 
 def standardize_temperature(df: DataFrame, column: str = "temperature", mode: str = "simple",
                             value: str = "temperature_C", status: str = "temperature_status",
-                            strict_parity: bool = False) -> DataFrame:
+                            strict_parity: bool = False, per_text: bool = True) -> DataFrame:
     """Add the temperature in °C. ``mode`` is 'simple' or 'rich' (units, ranges, ± forms)."""
-    text = _missing_input(df, column)
-    if mode == "simple":
-        number = X.temperature_simple(text)
-        return df.withColumns({value: number, status: _plain_status(text, number)})
+    def read(rows: DataFrame) -> DataFrame:
+        text = _missing_input(rows, column)
+        if mode == "simple":
+            number = X.temperature_simple(text)
+            return rows.withColumns({value: number, status: _plain_status(text, number)})
+        return _temperature_rich(rows, text, value, status, strict_parity)
+
+    return _once_per_text(df, column, read) if per_text else read(df)
+
+
+def _once_per_text(df: DataFrame, column: str, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Read every distinct text once and join the results back, when the texts are few and short.
+
+    One cheap pass checks that. Many or long texts are read in place instead, without a join.
+    """
+    if column not in df.columns:
+        return read(df)
+    seen, longest = df.agg(F.approx_count_distinct(column), F.max(F.octet_length(column))).first()
+    if seen * ((longest or 0) + 32) > MAX_TEXT_BYTES:
+        return read(df)
+    texts = cut_lineage(read(df.select(column).distinct()))
+    return join_groups(df, texts, [column], "left")
+
+
+def _temperature_rich(df: DataFrame, text: Column, value: str, status: str, strict_parity: bool) -> DataFrame:
     steps = temperature_steps(df, text, strict_parity)
     number, unit, had_unit = F.col("_number"), F.col("_unit"), F.col("_segment.had_unit")
     how = (F.when(F.col("_pre").isNull() | (F.col("_pre") == ""), "unavailable").when(number.isNull(), "failed")

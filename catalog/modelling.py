@@ -1 +1,163 @@
-"""To be filled."""
+"""Model and evaluation queries. Models use few trees here; their defaults are the published settings."""
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from assayflow.operators import evaluation, models
+from catalog import query
+from catalog.views import over, table, view
+
+PREDICTED = ", p as (select target, log10(y) as y, log10(p1) as p1, log10(p2) as p2 from v)"
+
+
+def _predicted(spark, sf_dir):
+    return view(spark, sf_dir, "v_predicted").select("target", *[F.log10(c).alias(c) for c in ("y", "p1", "p2")])
+
+
+def _scores_sql(p, by=""):
+    return f"""count(*) as n, round(avg(abs(y-{p})),6) as mae, round(sqrt(avg((y-{p})*(y-{p}))),6) as rmse,
+ round(1-avg((y-{p})*(y-{p}))/var_pop(y),5) as r2,
+ round(1-avg((power(10,y)-power(10,{p}))*(power(10,y)-power(10,{p})))/var_pop(power(10,y)),5) as r2_orig from p"""
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("mae", "rmse")} | {c: F.round(c, 5) for c in ("r2", "r2_orig")})
+
+
+@query("regression_metrics", over("v_predicted", PREDICTED + " select " + _scores_sql("p1")))
+def regression_metrics(spark, sf_dir):
+    return _rounded(evaluation.regression_metrics(_predicted(spark, sf_dir), "y", "p1"))
+
+
+STACKED = """, s as (select target, 'first' as model, log10(y) as y, log10(p1) as p from v
+ union all select target, 'second', log10(y), log10(p2) from v),
+m as (select target, model, avg(abs(y-p)) as mae, sqrt(avg((y-p)*(y-p))) as rmse, 1-avg((y-p)*(y-p))/var_pop(y) as r2,
+ 1-avg((power(10,y)-power(10,p))*(power(10,y)-power(10,p)))/var_pop(power(10,y)) as r2_orig from s group by target, model),
+e as (unpivot m on mae, rmse, r2, r2_orig into name metric value value)"""
+
+
+def _stacked(spark, sf_dir):
+    df = _predicted(spark, sf_dir)
+    return df.select("target", "y", F.inline(F.array(
+        F.struct(F.lit("first").alias("model"), F.col("p1").alias("p")),
+        F.struct(F.lit("second").alias("model"), F.col("p2").alias("p")))))
+
+
+@query("results_table", over("v_predicted", STACKED + " select target, model, metric, round(value,5) as value from e"))
+def results_table(spark, sf_dir):
+    return evaluation.results_table(_stacked(spark, sf_dir), "y", "p").withColumn("value", F.round("value", 5))
+
+
+@query("best_model", over("v_predicted", STACKED + """
+ select target, arg_max(model, value) as model, round(max(value),5) as value from e where metric='r2' group by target"""))
+def best_model(spark, sf_dir):
+    best = evaluation.best_model(evaluation.results_table(_stacked(spark, sf_dir), "y", "p"))
+    return best.withColumn("value", F.round("value", 5))
+
+
+@query("parity_data", over("v_predicted", """
+, l as (select target, log10(y+1e-30) as a, log10(p1+1e-30) as p from v),
+q as (select quantile_cont(x,0.01)*1.1 as lo, quantile_cont(x,0.99)*1.1 as hi from (select a as x from l union all select p from l))
+select target, round(a,6) as actual_log, round(p,6) as predicted_log, round(lo,6) as limit_lo, round(hi,6) as limit_hi from l, q"""))
+def parity_data(spark, sf_dir):
+    df = evaluation.parity_data(view(spark, sf_dir, "v_predicted").select("target", "y", "p1"), "y", "p1")
+    names = ("actual_log", "predicted_log", "limit_lo", "limit_hi")
+    return df.select("target", *[F.round(c, 6).alias(c) for c in names])
+
+
+@query("target_rows", over("v_gaps", """
+, f as (select row_id, case when isnan(a) or isinf(a) then null else a end as a, b from v)
+select row_id, target, round(log10(x),6)+0.0 as label from (
+ select row_id, 'kcat_value' as target, a as x from f union all select row_id, 'km_value', b from f
+ union all select row_id, 'kcat_km', a/nullif(b,0) from f) where x>0"""))
+def target_rows(spark, sf_dir):
+    df = view(spark, sf_dir, "v_gaps").withColumnsRenamed({"a": "kcat_value", "b": "km_value"})
+    rows = evaluation.target_rows(df, ["row_id"], ["kcat_value", "km_value", "kcat_km", "absent"],
+                                  {"kcat_km": ("kcat_value", "km_value")})
+    return rows.withColumn("label", F.round("label", 6) + F.lit(0.0))
+
+
+# --- fitted models ---
+
+ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+COLUMNS = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+
+
+def _rows(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    df = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(df)
+    return models.model_rows(df, "l_extendedprice", "features", ID)
+
+
+def _small_trees(**params):
+    return models.boosted_trees(**{"maxIter": 5, "maxDepth": 3, "stepSize": 0.3, **params})
+
+
+@query("gbt_regression")
+def gbt_regression(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    return models.evaluate(_small_trees().fit(models.train_part(rows)), rows)
+
+
+@query("random_search")
+def random_search(spark, sf_dir):
+    space = {"maxIter": [2, 4], "maxDepth": [2, 3], "stepSize": [0.1, 0.3]}
+    fitted = models.random_search(models.train_part(_rows(spark, sf_dir)), ID, _small_trees(), space, draws=2)
+    return models.search_report(fitted)
+
+
+@query("ridge")
+def ridge(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    return models.evaluate(models.ridge(models.train_part(rows)), rows)
+
+
+@query("random_forest")
+def random_forest(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    forest = models.random_forest(numTrees=5, maxDepth=4)
+    held_out = models.held_out_fold_r2(forest, models.train_part(rows), ID)
+    return models.evaluate(forest.fit(models.train_part(rows)), rows).withColumn("held_out_r2", F.lit(held_out))
+
+
+@query("rf_tuned")
+def rf_tuned(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    space = {"numTrees": models.Even(3, 6, True), "maxDepth": models.Even(2, 4, True)}
+    return models.evaluate(models.tuned_forest(models.train_part(rows), ID, draws=2, subset=5000, space=space), rows)
+
+
+@query("gbt_l1")
+def gbt_l1(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    space = {"maxDepth": models.Even(2, 3, True), "stepSize": models.Log10(0.1, 0.3)}
+    model = models.early_stopped_trees(models.train_part(rows), ID, space, loss="absolute", draws=1, max_iter=5)
+    return models.evaluate(model, rows)
+
+
+@query("gbt_early_stop")
+def gbt_early_stop(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    space = {"maxDepth": models.Even(2, 3, True), "stepSize": models.Log10(0.1, 0.3)}
+    return models.evaluate(models.early_stopped_trees(models.train_part(rows), ID, space, draws=1, max_iter=6), rows)
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    model = models.random_forest(numTrees=5, maxDepth=4).fit(models.train_part(_rows(spark, sf_dir)))
+    return models.feature_importance(model, COLUMNS)
+
+
+@query("batch_prediction")
+def batch_prediction(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    return models.predict(models.ridge(models.train_part(rows)), rows).select(*ID, "predicted")
+
+
+@query("compare_models")
+def compare_models(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").withColumns({"kcat_value": F.col("l_extendedprice"), "km_value": F.col("l_quantity")})
+    df = VectorAssembler(inputCols=["l_discount", "l_tax", "l_suppkey"], outputCol="features").transform(df)
+    fits = {"Ridge": models.ridge, "RF": lambda train: models.random_forest(numTrees=3, maxDepth=3).fit(train)}
+    predictions = models.compare_models(df, ["kcat_value", "km_value", "absent"], "features", ID, fits)
+    return evaluation.results_table(predictions)
