@@ -42,11 +42,12 @@ def read_text_document(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def write_bundle(df: DataFrame, path: str, row_id: str, features: str,
+def write_bundle(df: DataFrame, path: str, row_id: str | list[str], features: str,
                  targets: Iterable[str], meta: dict) -> None:
     """Write the model input: row id, feature vector, targets, and their description."""
     present = [t for t in targets if t in df.columns]
-    write_table(df.select(row_id, features, *present), f"{path}/rows")
+    ids = [row_id] if isinstance(row_id, str) else list(row_id)
+    write_table(df.select(*ids, features, *present), f"{path}/rows")
     write_text_document(df.sparkSession, {**meta, "targets": present}, f"{path}/meta")
 
 
