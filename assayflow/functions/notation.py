@@ -52,6 +52,10 @@ def folded_bits(notation: Column, bits: int, shingle: int = 3) -> Column:
 
 
 def bits_to_array(on: Column, bits) -> Column:
-    """Chosen bit numbers as an array of 0.0 and 1.0, in the order given."""
-    return F.transform(F.array(*[F.lit(int(b)) for b in bits]),
-                       lambda b: F.array_contains(on, b).cast("double"))
+    """Chosen bit numbers as an array of 0.0 and 1.0, in the order given.
+
+    The NULL test names the column a second time, which keeps the optimizer from moving the
+    expression that makes the bits into the lambda, where it would run once per bit.
+    """
+    chosen = F.transform(F.array(*[F.lit(int(b)) for b in bits]), lambda b: F.array_contains(on, b).cast("double"))
+    return F.when(on.isNotNull(), chosen).otherwise(F.array_repeat(F.lit(0.0), len(bits)))

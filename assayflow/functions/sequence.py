@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # The standard letters, the replacements of rare ones, and the letter groups.
 LETTERS = "ACDEFGHIKLMNPQRSTVWY"
 RARE_LETTERS, STAND_INS = "UOBZJ", "CKDEL"
+NOT_STANDARD = "X"
 HYDROPHOBIC = "AVILMFWY"
 POLAR = "STNQ"
 POSITIVE = "KRH"
@@ -22,20 +23,25 @@ ALIPHATIC_WEIGHTS = (("A", 1.0), ("V", 2.9), ("I", 3.9), ("L", 3.9))
 
 def letters_only(sequence: Column) -> Column:
     """Upper-case letters without bracketed remarks, rare letters replaced."""
-    bare = F.regexp_replace(sequence, r"\([^)]*\)", "")
-    return F.translate(F.upper(F.regexp_replace(bare, "[^A-Za-z]", "")), RARE_LETTERS, STAND_INS)
+    letters = F.upper(F.regexp_replace(sequence, r"\([^)]*\)|[^A-Za-z(]+|\(", ""))
+    for rare, stand_in in zip(RARE_LETTERS, STAND_INS):
+        letters = F.replace(letters, F.lit(rare), F.lit(stand_in))
+    return letters
 
 
 def standard_letters(letters: Column) -> Column:
-    return F.regexp_replace(letters, f"[^{LETTERS}]", "")
+    for other in NOT_STANDARD:
+        letters = F.replace(letters, F.lit(other), F.lit(""))
+    return letters
 
 
 def unknown_fraction(letters: Column, clean: Column) -> Column:
-    return F.lit(1.0) - F.try_divide(F.length(clean).cast("double"), F.length(letters).cast("double"))
+    return F.lit(1.0) - F.try_divide(F.octet_length(clean).cast("double"), F.octet_length(letters).cast("double"))
 
 
 def letter_count(clean: Column, letter: str) -> Column:
-    return F.length(clean) - F.length(F.replace(clean, F.lit(letter), F.lit("")))
+    # Clean letters take one byte each, so that the lengths need no further pass over the text.
+    return F.octet_length(clean) - F.octet_length(F.replace(clean, F.lit(letter), F.lit("")))
 
 
 def total(columns) -> Column:
@@ -50,4 +56,4 @@ def entropy_bits(shares) -> Column:
 def run_fraction(clean: Column) -> Column:
     """Share of letters that stand in a run of three or more equal ones."""
     rest = F.regexp_replace(clean, rf"([A-Z])\1{{{RUN_LENGTH - 1},}}", "")
-    return F.try_divide((F.length(clean) - F.length(rest)).cast("double"), F.length(clean).cast("double"))
+    return F.try_divide((F.octet_length(clean) - F.octet_length(rest)).cast("double"), F.octet_length(clean).cast("double"))

@@ -28,6 +28,9 @@ WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u
     chr(c) for c in range(0x2000, 0x200b))
 
 _INTEGER = r"[+-]?\d+"
+_PLAIN_INTEGER = r"^(?:0|[+-]?[1-9]\d*)$"
+_LEADING_ZEROS = r"^[+-]?0\d+$"
+_QUOTED = r"^(?:'[^']*'|\"[^\"]*\")$"
 _NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 _SEGMENT_CHARS = r"[\d.+\-eEx^ ]"
 _PLAIN_TOKEN = r"[+-]?\d*\.?\d+(?:[eE][+-]?\d+)?"
@@ -69,28 +72,33 @@ def first_int_of_text(text: Column) -> Column:
     """First integer of a number or of a list written as text.
 
     An empty list and a bare comma list give NULL. Text that is neither gives its first digit run.
+    The common forms come first, so that most rows meet one or two patterns.
     """
     t = strip(text)
-    number = first_match(t, rf"^({_NUMBER})$")
-    item = first_match(t, rf"^\[\s*({_NUMBER})\s*(?:,[^\[\]]*)?\]$")
-    quoted = first_match(t, rf"^\[\s*['\"]\s*({_INTEGER})\s*['\"]\s*(?:,[^\[\]]*)?\]$")
-    sequence = t.rlike(rf"^\(?\s*{_NUMBER}\s*(,\s*{_NUMBER}\s*)*,?\s*\)?$") & t.contains(",")
-    nothing = sequence | t.rlike(r"^\[\s*\]$") | t.rlike(r"^(?:'[^']*'|\"[^\"]*\")$")
-    leading_zeros = r"^[+-]?0\d+$"
-    return (F.when(nothing, F.lit(None).cast("bigint"))
-            .when(number.isNotNull() & ~number.rlike(leading_zeros), _whole(number))
-            .when(item.isNotNull() & ~item.rlike(leading_zeros), _whole(item))
-            .when(quoted.isNotNull(), _whole(quoted))
-            .otherwise(first_match(t, r"(\d+)").try_cast("bigint")))
+    comma_list = rf"^\(?\s*{_NUMBER}\s*,(?:\s*{_NUMBER}\s*,?)*\s*\)?$"
+    digits = first_match(t, r"(\d+)").try_cast("bigint")
+    return (F.when(t.rlike(_PLAIN_INTEGER), t.try_cast("bigint"))
+            .when(t.startswith("["), F.when(t.rlike(r"^\[\s*\]$"), F.lit(None).cast("bigint"))
+                  .otherwise(F.coalesce(_first_item(t), digits)))
+            .when(t.rlike(comma_list) | t.rlike(_QUOTED), F.lit(None).cast("bigint"))
+            .when(t.rlike(rf"^{_NUMBER}$") & ~t.rlike(_LEADING_ZEROS), _whole(t))
+            .otherwise(digits))
 
 
 def normalized_id_of_text(text: Column) -> Column:
     """Like :func:`first_int_of_text`, but text that is neither number nor list gives NULL."""
     t = strip(text)
-    bare = F.regexp_replace(t, r"^['\"]|['\"]$", "")
-    number = first_match(F.when(bare.rlike(rf"^{_INTEGER}$"), bare).otherwise(t), rf"^({_NUMBER})$")
-    item = first_match(t, rf"^\[\s*['\"]?\s*({_NUMBER})\s*['\"]?\s*(?:,[^\[\]]*)?\]$")
-    return _whole(F.coalesce(number, item))
+    return (F.when(t.rlike(_PLAIN_INTEGER), t.try_cast("bigint"))
+            .when(t.startswith("["), _first_item(t))
+            .when(t.rlike(rf"^['\"]\s*{_INTEGER}\s*['\"]$"), first_match(t, rf"({_INTEGER})").try_cast("bigint"))
+            .when(t.rlike(rf"^{_NUMBER}$"), _whole(t)))
+
+
+def _first_item(t: Column) -> Column:
+    """First item of a list text when it is a number, or a quoted integer."""
+    number = first_match(t, rf"^\[\s*({_NUMBER})\s*(?:,[^\[\]]*)?\]$")
+    quoted = first_match(t, rf"^\[\s*['\"]\s*({_INTEGER})\s*['\"]\s*(?:,[^\[\]]*)?\]$")
+    return F.coalesce(F.when(~number.rlike(_LEADING_ZEROS), _whole(number)), quoted.try_cast("bigint"))
 
 
 def first_int_of_array(items: Column) -> Column:

@@ -27,7 +27,8 @@ SAMPLE = 256
 EULER_GAMMA = 0.5772156649015329
 
 OVERSAMPLING = 1.6
-NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
+# Nodes are numbered as in a heap: the children of i are 2 i + 1 and 2 i + 2. A leaf has no feature.
+NODES = "tree int, node int, size int, feature int, threshold double, path double"
 
 
 def isolation_features(df: DataFrame, prefix: str = "fp_") -> list[str]:
@@ -60,7 +61,7 @@ class IsolationForest:
         samples = self._samples(df, center, middle["n_rows"])
         grow = _grower(len(self.columns), self.sample, self.seed)
         nodes = samples.groupBy("tree").applyInPandas(grow, NODES).toPandas()
-        return FittedForest(self, center, nodes.sort_values(["tree", "node"]))
+        return FittedForest(self, center, nodes)
 
     def _samples(self, df: DataFrame, center: dict[str, float], n: int) -> DataFrame:
         """At most ``sample`` rows per tree, picked by a hash of the row id.
@@ -103,14 +104,12 @@ def _grower(width: int, sample: int, seed: int):
         rng = np.random.default_rng([seed, tree])
         deepest = math.ceil(math.log2(max(min(sample, len(x)), 2)))
         nodes = []
-        waiting = [(np.arange(len(x)), 0, -1, "left")]
+        waiting = [(np.arange(len(x)), 0, 0)]
         while waiting:
-            members, depth, parent, side = waiting.pop()
-            node = len(nodes)
-            nodes.append({"tree": tree, "node": node, "feature": -1, "threshold": 0.0, "left": node,
-                          "right": node, "path": depth + average_path(len(members))})
-            if parent >= 0:
-                nodes[parent][side] = node
+            members, depth, node = waiting.pop()
+            grown = {"tree": tree, "node": node, "size": len(members), "feature": -1, "threshold": np.inf,
+                     "path": depth + average_path(len(members))}
+            nodes.append(grown)
             low, high = x[members].min(axis=0), x[members].max(axis=0)
             varying = np.flatnonzero(high > low)
             if depth >= deepest or len(members) < 2 or not len(varying):
@@ -120,9 +119,9 @@ def _grower(width: int, sample: int, seed: int):
             if cut <= low[feature]:
                 cut = float(np.nextafter(low[feature], np.inf))
             goes_left = x[members, feature] < cut
-            nodes[node].update(feature=feature, threshold=cut)
-            waiting.append((members[goes_left], depth + 1, node, "left"))
-            waiting.append((members[~goes_left], depth + 1, node, "right"))
+            grown.update(feature=feature, threshold=cut)
+            waiting.append((members[goes_left], depth + 1, 2 * node + 1))
+            waiting.append((members[~goes_left], depth + 1, 2 * node + 2))
         return pd.DataFrame(nodes)
 
     return grow
@@ -136,38 +135,40 @@ class FittedForest:
 
     def score(self, df: DataFrame, name: str = "iso_score") -> DataFrame:
         """Add the score, minus 2 ** (-mean path / expected path): higher is more normal."""
-        trees = [t[["feature", "threshold", "left", "right", "path"]].to_numpy()
-                 for _, t in self.nodes.groupby("tree")]
-        if not trees:
+        if self.nodes.empty:
             return df.withColumn(name, F.lit(None).cast("double"))
-        shared = df.sparkSession.sparkContext.broadcast(trees)
-        sizes = self.nodes.groupby("tree")["path"].size()
-        sample = self._sample_size()
-        deepest = math.ceil(math.log2(max(sample, 2)))
-        expected = max(average_path(sample), 1.0)
+        sample = int(self.nodes["size"].max())
+        depth, expected = math.ceil(math.log2(max(sample, 2))), max(average_path(sample), 1.0)
+        shared = df.sparkSession.sparkContext.broadcast(self._full_trees(depth))
 
         @F.pandas_udf("double")
         def anomaly(*columns: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            at_row = np.arange(len(x))
-            path = np.zeros(len(x))
-            for table in shared.value:
-                feature, left, right = (table[:, i].astype(np.int64) for i in (0, 2, 3))
-                threshold, length = table[:, 1], table[:, 4]
-                node = np.zeros(len(x), dtype=np.int64)
-                for _ in range(deepest):
-                    # A leaf points to itself, so rows that have arrived stay where they are.
-                    goes_left = x[at_row, feature[node]] < threshold[node]
-                    node = np.where(goes_left, left[node], right[node])
-                path += length[node]
-            return pd.Series(-np.exp2(-path / len(shared.value) / expected))
+            features, thresholds, paths = shared.value
+            n = len(columns[0])
+            values = np.concatenate([c.to_numpy(dtype=float) for c in columns])
+            row, total = np.arange(n), np.zeros(n)
+            for feature, threshold, path in zip(features, thresholds, paths):
+                node = np.zeros(n, dtype=np.int64)
+                for _ in range(depth):
+                    value = values.take(feature.take(node) * n + row)
+                    node = 2 * node + 1 + (value >= threshold.take(node))
+                total += path.take(node)
+            return pd.Series(-np.exp2(-total / len(paths) / expected))
 
         return df.withColumn(name, anomaly(*_filled(self.forest.columns, self.center)))
 
-    def _sample_size(self) -> int:
-        # The root of a tree stands for all of its sample: its path is the expected path of that many rows.
-        roots = self.nodes[self.nodes["node"] == 0]["path"].max()
-        return next(n for n in range(self.forest.sample, 0, -1) if average_path(n) <= roots + 1e-9)
+    def _full_trees(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Trees as arrays of equal depth; below an early leaf the way leads left to its path length."""
+        tree = self.nodes["tree"].rank(method="dense").to_numpy(dtype=int) - 1
+        shape = (tree.max() + 1, 2 ** (depth + 1) - 1)
+        features, thresholds, paths = np.zeros(shape, int), np.full(shape, np.inf), np.zeros(shape)
+        for t, node, feature, cut, path in zip(tree, self.nodes["node"], self.nodes["feature"],
+                                               self.nodes["threshold"], self.nodes["path"]):
+            features[t, node], thresholds[t, node] = max(feature, 0), cut
+            while node < 2 ** depth - 1 and feature < 0:
+                node = 2 * node + 1
+            paths[t, node] = path
+        return features, thresholds, paths
 
     def threshold(self, df: DataFrame, limit: int = ROWS_IN_ONE_TASK) -> float:
         """The score below which the contamination share of the rows lies."""

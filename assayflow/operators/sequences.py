@@ -38,13 +38,13 @@ def normalize_sequence(df: DataFrame, column: str = "sequence") -> DataFrame:
     """Add ``clean_sequence``, ``orig_len`` (letters) and ``unknown_frac`` (share not standard)."""
     letters = S.letters_only(F.col(column)) if column in df.columns else F.lit(None).cast("string")
     clean = S.standard_letters(letters)
-    return df.withColumns({"clean_sequence": clean, "orig_len": F.length(letters),
+    return df.withColumns({"clean_sequence": clean, "orig_len": F.octet_length(letters),
                            "unknown_frac": S.unknown_fraction(letters, clean)})
 
 
 def long_enough() -> Column:
     """The guard of all features: some standard letter, and at least ten letters."""
-    return (F.length("clean_sequence") > 0) & (F.col("orig_len") >= S.MIN_LENGTH)
+    return (F.octet_length("clean_sequence") > 0) & (F.col("orig_len") >= S.MIN_LENGTH)
 
 
 def add_sequence_features(df: DataFrame, column: str = "sequence", prefix: str = "aa_") -> DataFrame:
@@ -58,7 +58,7 @@ def add_sequence_features(df: DataFrame, column: str = "sequence", prefix: str =
     guard = long_enough()
     clean = F.when(guard, F.col("clean_sequence"))
     df = df.withColumns({f"n_{a}": S.letter_count(clean, a) for a in S.LETTERS}
-                        | {"clean_length": F.length(clean), "low_complexity_frac": S.run_fraction(clean)})
+                        | {"clean_length": F.octet_length(clean), "low_complexity_frac": S.run_fraction(clean)})
     df = df.withColumns({f"{prefix}{a}": F.col(f"n_{a}") / F.col("clean_length") for a in S.LETTERS})
 
     share = {a: F.col(f"{prefix}{a}") for a in S.LETTERS}
@@ -110,7 +110,7 @@ def bigram_score(df: DataFrame, row_id: str, weights: DataFrame, column: str = "
     rows = normalize_sequence(df.select(row_id, column), column)
     rows = rows.select(row_id, F.when(long_enough(), F.col("clean_sequence")).alias("clean"))
     pairs = F.regexp_extract_all(F.col("clean"), F.lit("(?=(..))"), 1)
-    exploded = rows.select(row_id, F.length("clean").alias("length"), F.explode_outer(pairs).alias("pair"))
+    exploded = rows.select(row_id, F.octet_length("clean").alias("length"), F.explode_outer(pairs).alias("pair"))
     scored = join_groups(exploded, weights.select("pair", "weight"), ["pair"], "left")
     return (scored.groupBy(row_id)
             .agg(F.sum(F.coalesce("weight", F.lit(0.0))).alias("total"), F.max("length").alias("length"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -66,50 +65,64 @@ def corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _corr_aggregate(df, columns) if len(columns) <= NARROW_COLUMNS else _corr_gram(df, columns)
 
 
+def _scaled_columns(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[Column], list[int], int]:
+    """Columns centred and scaled by their own mean and deviation, so that sums of products keep their digits."""
+    rows = df.select(*[finite(F.col(c)).alias(f"x{i}") for i, c in enumerate(columns)])
+    stats = rows.agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in rows.columns
+                                                        for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop))]).first()
+    scaled = [(F.col(c) - F.lit(stats[f"m_{c}"] or 0.0)) / F.lit(stats[f"s_{c}"] or 1.0) for c in rows.columns]
+    return rows, scaled, [stats[f"n_{c}"] for c in rows.columns], stats["rows"]
+
+
 def _corr_aggregate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    rows = df.select(*[finite(F.col(c)).alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
+    """A pair without missing values needs one more sum, any other pair six."""
+    rows, scaled, known, total = _scaled_columns(df, columns)
+    rows = rows.select(*[x.alias(f"x{i}") for i, x in enumerate(scaled)])
+    pairs = list(combinations(range(len(columns)), 2))
     aggregates = []
-    for i, (x, y) in enumerate(pairs):
-        x_known, y_known = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
-        scale = F.stddev_pop(x_known) * F.stddev_pop(y_known)
-        aggregates += [F.try_divide(F.covar_pop(F.col(x), F.col(y)), scale).alias(f"r{i}"),
-                       F.count(x_known).alias(f"n{i}")]
-    row = rows.agg(*aggregates)
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
-        for i, (x, y) in enumerate(pairs)])))
+    for p, (i, j) in enumerate(pairs):
+        x, y = F.col(f"x{i}"), F.col(f"x{j}")
+        aggregates.append(F.sum(x * y).alias(f"xy{p}"))
+        if known[i] < total or known[j] < total:
+            xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+            aggregates += [F.count(xs).alias(f"n{p}"), F.sum(xs).alias(f"x{p}"), F.sum(ys).alias(f"y{p}"),
+                           F.sum(xs * xs).alias(f"xx{p}"), F.sum(ys * ys).alias(f"yy{p}")]
+    sums = rows.agg(*aggregates, *[F.sum(f"x{i}").alias(f"s{i}") for i in range(len(columns))],
+                    *[F.sum(F.col(f"x{i}") * F.col(f"x{i}")).alias(f"ss{i}") for i in range(len(columns))]).first()
+    found = []
+    for p, (i, j) in enumerate(pairs):
+        if known[i] < total or known[j] < total:
+            n, x, y, xx, yy = (sums[f"{k}{p}"] or 0 for k in ("n", "x", "y", "xx", "yy"))
+        else:
+            n, x, y, xx, yy = total, *(sums[k] or 0 for k in (f"s{i}", f"s{j}", f"ss{i}", f"ss{j}"))
+        found.append((columns[i], columns[j], _pearson(n, x, y, xx, yy, sums[f"xy{p}"] or 0), int(n)))
+    return df.sparkSession.createDataFrame(found, "x string, y string, r double, n bigint")
+
+
+def _pearson(n: float, x: float, y: float, xx: float, yy: float, xy: float) -> float | None:
+    """Correlation from sums; None when either column does not vary."""
+    if not n:
+        return None
+    variances = (xx / n - (x / n) ** 2) * (yy / n - (y / n) ** 2)
+    return float((xy / n - x / n * y / n) / variances ** 0.5) if variances > 1e-24 else None
 
 
 def _corr_gram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One Gram matrix of (present, x, x*x) holds all pairwise-complete sums.
 
-    Columns are centred and scaled by their own mean and deviation first, so that the differences
-    of sums keep their digits. The matrix is added up in a tree on the executors; what reaches the
-    driver has the size of the column list.
+    The matrix is added up in a tree on the executors; what reaches the driver has the size of the
+    column list.
     """
     k = len(columns)
-    rows = df.select(*[finite(F.col(c)).alias(c) for c in columns])
-    stats = rows.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns)
-                       for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-    scaled = [(F.col(c) - F.lit(stats[f"m{i}"] or 0.0)) / F.lit(stats[f"s{i}"] or 1.0)
-              for i, c in enumerate(columns)]
+    rows, scaled, _, _ = _scaled_columns(df, columns)
     zero = F.lit(0.0)
-    parts = ([F.col(c).isNotNull().cast("double") for c in columns]
-             + [F.coalesce(s, zero) for s in scaled] + [F.coalesce(s * s, zero) for s in scaled])
+    parts = ([F.col(c).isNotNull().cast("double") for c in rows.columns]
+             + [F.coalesce(x, zero) for x in scaled] + [F.coalesce(x * x, zero) for x in scaled])
     vectors = MLUtils.convertVectorColumnsFromML(rows.select(array_to_vector(F.array(*parts)).alias("v")), "v")
     gram = RowMatrix(vectors).computeGramianMatrix().toArray()
     n, sx, sxx, xy = gram[:k, :k], gram[k:2 * k, :k], gram[2 * k:, :k], gram[k:2 * k, k:2 * k]
-    found = []
-    for i, j in combinations(range(k), 2):
-        count = n[i, j]
-        r = None
-        if count:
-            covariance = xy[i, j] / count - sx[i, j] * sx[j, i] / count ** 2
-            variances = ((sxx[i, j] / count - (sx[i, j] / count) ** 2)
-                         * (sxx[j, i] / count - (sx[j, i] / count) ** 2))
-            r = float(covariance / variances ** 0.5) if variances > 1e-24 else None
-        found.append((columns[i], columns[j], r, int(count)))
+    found = [(columns[i], columns[j], _pearson(n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i], xy[i, j]), int(n[i, j]))
+             for i, j in combinations(range(k), 2)]
     return df.sparkSession.createDataFrame(found, "x string, y string, r double, n bigint")
 
 

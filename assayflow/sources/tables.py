@@ -23,6 +23,17 @@ def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = N
     return clean_nan(df)
 
 
+def spread_out(scan: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core, for work that is heavy per row.
+
+    A scan with fewer partitions than cores is small, or stored in few row groups, so moving its
+    rows costs little. A scan of many partitions comes back as it is. Meant for bare scans:
+    filters and column lists still reach the reader through it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def clean_nan(df: DataFrame) -> DataFrame:
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return df.withColumns({c: nan_to_null(F.col(c)) for c in floats}) if floats else df

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from assayflow.functions.notation import folded_bits
 from assayflow.operators import features
 from assayflow.operators.notations import add_notation_features
+from assayflow.sources.tables import cut_lineage
 from catalog import query
 from catalog.statistics import BITS, CORR5, PAIRS5, _pair
 from catalog.views import over, table, view
@@ -15,7 +16,7 @@ from catalog.views import over, table, view
 select c as "column", not exists (select 1 from r where r.y=c and abs(r.r)>0.9) as kept
 from (select unnest(['x0','x1','x2','x3','x4']) as c)"""))
 def corr_prune(spark, sf_dir):
-    return features.pruned_columns(view(spark, sf_dir, "v_corr5"), CORR5)
+    return features.pruned_columns(view(spark, sf_dir, "v_corr5", spread=True), CORR5)
 
 
 @query("variance_filter", f"""with {BITS},
@@ -64,7 +65,7 @@ def pca_explained(spark, sf_dir):
 
 
 def _page_rows(spark, sf_dir):
-    rows = add_notation_features(view(spark, sf_dir, "v_notation"), "notation")
+    rows = cut_lineage(add_notation_features(view(spark, sf_dir, "v_notation", spread=True), "notation"))
     return rows.withColumn("kcat_value", F.col("tok_length").cast("double"))
 
 

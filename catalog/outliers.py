@@ -50,7 +50,7 @@ def _summary(flagged, group="grp"):
 
 
 def _adaptive(spark, sf_dir, name, group="grp", **options):
-    return O.adaptive_iqr(view(spark, sf_dir, name), "a", "b", group, name="hit", keep_fence=True, **options)
+    return O.adaptive_iqr(view(spark, sf_dir, name, spread=True), "a", "b", group, name="hit", keep_fence=True, **options)
 
 
 @query("adaptive_iqr", over("v_assay", "," + sql_adaptive("grp") + SUMMARY))
@@ -124,7 +124,7 @@ dm as (select *, coalesce(ph<=0 or ph>14,false) or coalesce(temp< -10 or temp>12
 
 
 def _parsed(spark, sf_dir, name="v_assay"):
-    df = view(spark, sf_dir, name)
+    df = view(spark, sf_dir, name, spread=True)
     df = parsing.standardize_ph(df, "ph_text", value="ph")
     df = parsing.standardize_temperature(df, "temp_text", value="temp")
     # Texts are read once; the outlier stages pass over the written numbers.
@@ -216,7 +216,7 @@ LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def _lines(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(*LINE_ID, *ISO_COLUMNS)
+    return table(spark, sf_dir, "lineitem", spread=True).select(*LINE_ID, *ISO_COLUMNS)
 
 
 @query("isolation_forest")

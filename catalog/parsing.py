@@ -96,7 +96,7 @@ def _counted(df, *columns):
 
 @query("first_int", over("v_dirty", f"select id_text, ({SQL_FIRST_INT})::double as cid, count(*) as n from v group by all"))
 def first_int(spark, sf_dir):
-    df = view(spark, sf_dir, "v_dirty").select("id_text", F.col("id_text").alias("cid"))
+    df = view(spark, sf_dir, "v_dirty", spread=True).select("id_text", F.col("id_text").alias("cid"))
     return _counted(parsing.normalize_ids(df, ["cid"]), "id_text", F.col("cid").cast("double").alias("cid"))
 
 
@@ -110,7 +110,7 @@ def first_int_of_list(spark, sf_dir):
 
 @query("normalize_id", over("v_dirty", f"select id_text, ({SQL_NORMAL_ID})::double as cid, count(*) as n from v group by all"))
 def normalize_id(spark, sf_dir):
-    df = view(spark, sf_dir, "v_dirty").select("id_text", F.col("id_text").alias("cid"))
+    df = view(spark, sf_dir, "v_dirty", spread=True).select("id_text", F.col("id_text").alias("cid"))
     return _counted(parsing.normalize_ids(df, ["cid"], strict=True), "id_text", F.col("cid").cast("double").alias("cid"))
 
 

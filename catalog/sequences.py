@@ -37,7 +37,7 @@ def _count(letters):
 
 
 def _features(spark, sf_dir, *columns, digits=6):
-    df = sequences.add_sequence_features(view(spark, sf_dir, "v_seq"), "sequence")
+    df = sequences.add_sequence_features(view(spark, sf_dir, "v_seq", spread=True), "sequence")
     return df.select("row_id", *[(F.round(F.col(c).cast("double"), digits) + F.lit(0.0)).alias(c) for c in columns])
 
 
@@ -45,7 +45,7 @@ def _features(spark, sf_dir, *columns, digits=6):
 select row_id, md5(clean) as clean_hash, orig_len::double as orig_len, round(unknown,6)+0.0 as unknown_frac
 from (select row_id, clean, orig_len, 1.0-length(clean)::double/nullif(orig_len,0) as unknown from c)"""))
 def normalize_sequence(spark, sf_dir):
-    df = sequences.normalize_sequence(view(spark, sf_dir, "v_seq"), "sequence")
+    df = sequences.normalize_sequence(view(spark, sf_dir, "v_seq", spread=True), "sequence")
     return df.select("row_id", F.md5("clean_sequence").alias("clean_hash"), F.col("orig_len").cast("double").alias("orig_len"),
                      (F.round("unknown_frac", 6) + F.lit(0.0)).alias("unknown_frac"))
 
@@ -90,12 +90,12 @@ def low_complexity(spark, sf_dir):
 
 @query("weighted_composition", over("v_seq", SEQ_SQL + f"""select row_id, round({_share('YWF')},6) as aromaticity,
  round({'+'.join(f'(n_{a}/len)*({w})' for a, w in _pairs(HYDROPATHY))},6)+0.0 as gravy,
- round({'+'.join(f'n_{a}*{w}' for a, w in _pairs(MASS))} - (len-1)*18.0153,2) as mol_weight,
+ round({'+'.join(f'n_{a}*{w}' for a, w in _pairs(MASS))} - (len-1)*18.0153,4) as mol_weight,
  round({_share('EMALK')},6) as frac_helix, round({_share('NPGSD')},6) as frac_turn, round({_share('VIYFWLT')},6) as frac_sheet,
  n_W*5500+n_Y*1490 as ext_coeff_reduced, n_W*5500+n_Y*1490+floor(n_C/2)*125 as ext_coeff_oxidized from n"""))
 def weighted_composition(spark, sf_dir):
     return _features(spark, sf_dir, "aromaticity", "gravy", "frac_helix", "frac_turn", "frac_sheet", "ext_coeff_reduced",
-                     "ext_coeff_oxidized").join(_features(spark, sf_dir, "mol_weight", digits=2), "row_id")
+                     "ext_coeff_oxidized").join(_features(spark, sf_dir, "mol_weight", digits=4), "row_id")
 
 
 # The weights are those of a made-up table: 1 + position of the first letter - half the position of the second.
@@ -110,7 +110,7 @@ select n.row_id, round(score,4) as score from n left join s on n.row_id=s.row_id
 def bigram_score(spark, sf_dir):
     weights = [(a + b, 1.0 + i - j * 0.5) for i, a in enumerate(L, 1) for j, b in enumerate(L, 1)]
     table = spark.createDataFrame(weights, "pair string, weight double")
-    scores = sequences.bigram_score(view(spark, sf_dir, "v_seq"), "row_id", table)
+    scores = sequences.bigram_score(view(spark, sf_dir, "v_seq", spread=True), "row_id", table)
     return scores.select("row_id", F.round("score", 4).alias("score"))
 
 
@@ -133,7 +133,7 @@ select row_id, {_n(r'\[[^\]]*\]')} + {_n('Cl|Br|[BCNOPSFI]|[bcnops]', 'outside')
  {_n('%[0-9]{2}|[0-9]', 'outside')} as tok_ring_marks, {_n(r'\(')} as tok_branches, {_n('[bcnops]', 'plain')} as tok_aromatic,
  {_n('@@?|[/' + chr(92) * 2 + ']')} as tok_stereo, {_n('[=#]')} as tok_multiple_bonds, length(notation) as tok_length from p"""))
 def notation_token_counts(spark, sf_dir):
-    df = notations.add_notation_features(view(spark, sf_dir, "v_notation"), "notation")
+    df = notations.add_notation_features(view(spark, sf_dir, "v_notation", spread=True), "notation")
     return df.select("row_id", *[F.col(c).cast("bigint").alias(c) for c in df.columns if c.startswith("tok_")])
 
 
@@ -145,7 +145,7 @@ select row_id, string_agg(bit::varchar, ',' order by bit) as bits, count(*) as n
 
 
 def _fingerprints(spark, sf_dir, bits):
-    df = notations.add_notation_features(view(spark, sf_dir, "v_notation"), "notation", bits)
+    df = notations.add_notation_features(view(spark, sf_dir, "v_notation", spread=True), "notation", bits)
     return df.select("row_id", F.array_join(F.col("fp_bits").cast("array<string>"), ",").alias("bits"),
                      F.size("fp_bits").cast("bigint").alias("n_on"))
 

@@ -56,7 +56,7 @@ PAIRS5 = [(CORR5[i], CORR5[j]) for i in range(5) for j in range(i + 1, 5)]
 
 @query("corr_pairs", over("v_corr5", " union all ".join(_pair(x, y) for x, y in PAIRS5)))
 def corr_pairs(spark, sf_dir):
-    return _round(stats.corr_pairs(view(spark, sf_dir, "v_corr5"), CORR5), "r")
+    return _round(stats.corr_pairs(view(spark, sf_dir, "v_corr5", spread=True), CORR5), "r")
 
 
 @query("corr_pairs_gram", over("v_corr5", " union all ".join(_pair(x, y) for x, y in PAIRS5)))

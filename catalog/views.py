@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assayflow.sources.tables import spread_out
+
 VIEWS = {
     "v_assay": """
 select concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string),
@@ -78,14 +80,20 @@ from {lineitem} join {part} on l_partkey=p_partkey""",
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Tables that are only looked up; spreading them would be a shuffle for nothing.
+LOOKUPS = {"part"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; ``spread`` is for queries whose work per row is heavy."""
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_out(scan) if spread and name not in LOOKUPS else scan
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     text = VIEWS[name]
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
+    return spark.sql(text, **{t: table(spark, sf_dir, t, spread) for t in used})
 
 
 def text_of(name: str) -> str:
