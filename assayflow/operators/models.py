@@ -114,13 +114,13 @@ def random_forest(features: str = "features", seed: int = defaults.SEED, **param
 
 
 def ridge(train: DataFrame, alpha: float = RIDGE_ALPHA, features: str = "features") -> Model:
-    """Least squares with penalty alpha * |w|^2.
+    """Least squares with penalty alpha * |w|^2 on the sum of squared errors.
 
-    MLlib minimises the mean square error over 2 plus regParam / 2 * |w|^2, so the penalty has to be
-    divided by the number of rows.
+    MLlib works with the mean squared error of the label divided by its deviation, so the penalty
+    is divided by the number of rows and multiplied by that deviation.
     """
-    n = train.count()
-    return LinearRegression(featuresCol=features, elasticNetParam=0.0, regParam=alpha / n,
+    n, deviation = train.agg(F.count("label"), F.stddev_pop("label")).first()
+    return LinearRegression(featuresCol=features, elasticNetParam=0.0, regParam=alpha * (deviation or 0.0) / max(n, 1),
                             standardization=False, solver="normal").fit(train)
 
 

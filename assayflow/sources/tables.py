@@ -87,7 +87,7 @@ class NamedTables:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a private one in local runs without it."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
