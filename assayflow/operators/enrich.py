@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assayflow.functions.numbers import coerce_numeric, log10_positive
 from assayflow.functions.text import code_list
 from assayflow.operators.parsing import normalize_ids
+from assayflow.sources.tables import cut_lineage
 
 STATISTICS = ("min", "max", "mean")
 
@@ -63,7 +64,7 @@ def code_list_enrich(df: DataFrame, column: str, lookup: DataFrame, measures: Se
     for m in measures:
         for name, f in zip(STATISTICS, (F.min, F.max, F.avg)):
             combined.append(f(filled(f"{m}_{name}")).alias(f"{m}_{name}"))
-    per_list = matched.groupBy(column).agg(*combined)
+    per_list = cut_lineage(matched.groupBy(column).agg(*combined))  # its size decides how it is joined
     joined = df.join(per_list, column, "left")
     names = [f"{m}_{s}" for m in measures for s in STATISTICS]
     return joined.withColumns({"has_match": F.coalesce("has_match", F.lit(0))}

@@ -1,7 +1,7 @@
 """Exact quantiles and order statistics whose task state does not grow with the data.
 
-``percentile`` keeps a map of all values of a group in one task. It is used only while the largest
-group is known to fit. Larger groups are narrowed down first: a histogram per group tells which bin
+``percentile`` keeps a map of all values of a group in one task. It is used only while the values
+of the largest group, over all columns, are known to fit. Larger groups are narrowed down first: a histogram per group tells which bin
 holds the wanted rank, the next pass bins only the rows of that bin, and so on until the bracket
 holds few rows or one value. Every pass shuffles bin counts, never rows, so a hot group costs as
 little as any other, and the result is the same value ``percentile`` would give.
@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from assayflow.operators.joins import join_groups
 from assayflow.sources.tables import cut_lineage
 
-ROWS_IN_ONE_TASK = 1_000_000
+VALUES_IN_ONE_TASK = 3_000_000
 BINS = 4096
 
 
 def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), limit: int = ROWS_IN_ONE_TASK) -> DataFrame:
+                    by: Sequence[str] = (), limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
     """One row per group: ``n_rows``, and per value column ``n_<value>`` and the array ``q_<value>``.
 
     Linear interpolation between neighbours; NULLs are left out; missing keys form one group.
@@ -31,12 +31,12 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Sequence[float]
     by, values, probs = list(by), list(values), [float(p) for p in probs]
     df = df.select(*by, *values)
     counts = [F.count(F.lit(1)).alias("n_rows"), *[F.count(v).alias(f"n_{v}") for v in values]]
-    sizes = df.groupBy(*by).agg(*counts)
-    largest = sizes.agg(F.max("n_rows")).first()[0] or 0
+    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    limit = limit // max(len(values), 1)
     if largest <= limit:
         return _in_one_task(df, values, probs, by, counts)
 
-    sizes = cut_lineage(sizes)
+    sizes = cut_lineage(df.groupBy(*by).agg(*counts))
     if not by:
         return _narrowed(df, sizes, values, probs, by, limit)
     large = sizes.filter(F.col("n_rows") > limit)
@@ -52,7 +52,8 @@ def _in_one_task(df, values, probs, by, counts) -> DataFrame:
 
 
 def _narrowed(df, sizes, values, probs, by, limit) -> DataFrame:
-    rows = long_form(df, values, by).persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = long_form(df, values, by)
     keys = [*by, "measure"]
     position = lambda p: F.lit(p) * (F.col("n") - 1)
     ranks = F.array_distinct(F.array(*[end(position(p)) for p in probs for end in (F.floor, F.ceil)]))
@@ -73,7 +74,7 @@ def _narrowed(df, sizes, values, probs, by, limit) -> DataFrame:
         one = wide.first()
         result = sizes.withColumns({f"q_{v}": F.lit(one[f"q_{v}"]) for v in values})
     result = cut_lineage(result)
-    rows.unpersist()
+    df.unpersist()
     return result
 
 
@@ -90,7 +91,7 @@ def long_form(df: DataFrame, values: Sequence[str], by: Sequence[str]) -> DataFr
 
 
 def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = (),
-                     limit: int = ROWS_IN_ONE_TASK) -> DataFrame:
+                     limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
     """The values at 0-based ranks: (group, measure, rank, value).
 
     ``rows`` holds (group, measure, x). ``targets`` holds (group, measure, rank) with a bracket
@@ -101,17 +102,19 @@ def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = ()
     settled = (F.col("inside") <= limit) | (F.col("lo") == F.col("hi"))
     targets = cut_lineage(targets.select(*bracket))
     while not targets.filter(~settled).isEmpty():
+        wide = targets.filter(~settled)
         place = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
-        bins = (_rows_in_bracket(rows, targets.filter(~settled), keys)
+        # Ranks in the same bracket share its bins, so a row is counted once for all of them.
+        bins = (_rows_in_bracket(rows, wide.select(*keys, "lo", "hi", "below").distinct(), keys)
                 .withColumn("bin", F.least(place, F.lit(BINS - 1)))
-                .groupBy(*keys, "rank", "below", "bin")
+                .groupBy(*keys, "below", "bin")
                 .agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("inside")))
-        in_order = Window.partitionBy(*keys, "rank").orderBy("bin")
-        narrowed = (bins.withColumn("below", F.col("below") + F.sum("inside").over(in_order) - F.col("inside"))
-                    .filter((F.col("rank") >= F.col("below"))
-                            & (F.col("rank") < F.col("below") + F.col("inside"))))
-        targets = cut_lineage(targets.filter(settled).select(*bracket)
-                              .unionByName(narrowed.select(*bracket)))
+        in_order = Window.partitionBy(*keys, "below").orderBy("bin")
+        bins = bins.withColumn("start", F.col("below") + F.sum("inside").over(in_order) - F.col("inside"))
+        narrowed = (join_groups(wide.select(*keys, "rank", "below"), bins, [*keys, "below"])
+                    .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("inside")))
+                    .select(*keys, "rank", "lo", "hi", F.col("start").alias("below"), "inside"))
+        targets = cut_lineage(targets.filter(settled).select(*bracket).unionByName(narrowed))
 
     single = targets.filter(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("value"))
     gathered = (_rows_in_bracket(rows, targets.filter(F.col("lo") < F.col("hi")), keys)
@@ -127,7 +130,7 @@ def _rows_in_bracket(rows, targets, keys) -> DataFrame:
 
 
 def quantile_values(df: DataFrame, values: Sequence[str], probs: Sequence[float],
-                    limit: int = ROWS_IN_ONE_TASK) -> dict[str, list[float] | None]:
+                    limit: int = VALUES_IN_ONE_TASK) -> dict[str, list[float] | None]:
     """Quantiles of whole columns as driver-side numbers: one fixed-size row is fetched."""
     if not values:
         return {}
@@ -137,6 +140,6 @@ def quantile_values(df: DataFrame, values: Sequence[str], probs: Sequence[float]
     return {v: row[f"q_v{i}"] for i, v in enumerate(values)}
 
 
-def medians(df: DataFrame, values: Sequence[str], limit: int = ROWS_IN_ONE_TASK) -> dict[str, float | None]:
+def medians(df: DataFrame, values: Sequence[str], limit: int = VALUES_IN_ONE_TASK) -> dict[str, float | None]:
     found = quantile_values(df, values, [0.5], limit)
     return {v: q[0] if q else None for v, q in found.items()}

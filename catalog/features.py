@@ -64,6 +64,17 @@ def pca_explained(spark, sf_dir):
     return features.explained_variance(pca, df)
 
 
+@query("pca_explained_pair", over("v_corr5", """
+, r as (select abs(corr(x0,x2)) as r from v)
+select 1 as component, round((1+r)/2,6) as ratio, round((1+r)/2,6) as cumulative, (1+r)/2>=0.95 as reaches_line from r
+union all select 2, round((1-r)/2,6), 1.0, true from r"""))
+def pca_explained_pair(spark, sf_dir):
+    df = features.standardize(view(spark, sf_dir, "v_corr5").select("x0", "x2"), ["x0", "x2"])
+    df = df.select(array_to_vector(F.array("x0", "x2")).alias("v"))
+    _, pca = features.fit_projection(df, "v", 2)
+    return features.explained_variance(pca, df).withColumns({c: F.round(c, 6) for c in ("ratio", "cumulative")})
+
+
 def _page_rows(spark, sf_dir):
     rows = cut_lineage(add_notation_features(view(spark, sf_dir, "v_notation", spread=True), "notation"))
     return rows.withColumn("kcat_value", F.col("tok_length").cast("double"))

@@ -113,6 +113,19 @@ def ridge(spark, sf_dir):
     return models.evaluate(models.ridge(models.train_part(rows)), rows)
 
 
+# With one feature the penalised slope is sxy / (sxx + alpha).
+@query("ridge_one_feature", """
+with d as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, log10(l_quantity) as x, log10(l_extendedprice) as y,
+  ('0x'||substr(md5(concat_ws('-',l_orderkey,l_linenumber,l_partkey,l_suppkey)),1,8))::bigint % 100 < 20 as is_test from lineitem),
+m as (select avg(x) as mx, avg(y) as my, count(*)*covar_pop(x,y)/(count(*)*var_pop(x)+1000) as w from d where not is_test)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, is_test, round(my+w*(x-mx),5) as prediction from d, m""")
+def ridge_one_feature(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").withColumn("x", F.log10("l_quantity"))
+    rows = models.model_rows(models.assemble(df, ["x"]), "l_extendedprice", "features", ID)
+    fitted = models.ridge(models.train_part(rows), alpha=1000.0)
+    return fitted.transform(rows).select(*ID, "is_test", F.round("prediction", 5).alias("prediction"))
+
+
 @query("random_forest")
 def random_forest(spark, sf_dir):
     rows = _rows(spark, sf_dir)
