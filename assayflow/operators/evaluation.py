@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow.functions.numbers import log10_positive, safe_ratio
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK, quantile_values
+from assayflow.operators.quantiles import quantile_values
 
 # Fixed value: keeps log10 defined for a zero.
 TINY = 1e-30
@@ -44,7 +44,7 @@ def best_model(results: DataFrame, metric: str = "r2") -> DataFrame:
 
 
 def parity_data(df: DataFrame, y: str, prediction: str, low: float = 1, high: float = 99, stretch: float = 1.1,
-                limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                limit: int | None = None) -> DataFrame:
     """Actual and predicted log10 values with the axis limits: percentiles of both, stretched."""
     logs = df.withColumns({"actual_log": F.log10(F.col(y) + TINY), "predicted_log": F.log10(F.col(prediction) + TINY)})
     both = logs.select(F.explode(F.array("actual_log", "predicted_log")).alias("x"))

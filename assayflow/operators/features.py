@@ -14,7 +14,7 @@ from assayflow import defaults as D
 from assayflow.functions.notation import bits_to_array
 from assayflow.functions.numbers import finite
 from assayflow.operators.clean import split_feature_blocks
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK, medians
+from assayflow.operators.quantiles import medians
 from assayflow.operators.stats import bit_variance, corr_pairs
 from assayflow.sources.tables import read_text_document, write_text_document
 
@@ -38,7 +38,7 @@ def correlation_prune(df: DataFrame, columns: Sequence[str], threshold: float =
     return [c for c in columns if c in kept]
 
 
-def median_impute(df: DataFrame, columns: Sequence[str], limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+def median_impute(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> DataFrame:
     middle = medians(df, columns, limit)
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(middle[c])) for c in columns})
 
@@ -128,7 +128,7 @@ def _imputed(column: str, center: float) -> Column:
 def fit_features(df: DataFrame, columns: Sequence[str] | None = None, fingerprint: str | None = None,
                  bits: int = D.FINGERPRINT_BITS, threshold: float = D.CORRELATION_THRESHOLD,
                  bit_threshold: float = D.BIT_VARIANCE_THRESHOLD, components: int | None = D.PCA_COMPONENTS,
-                 limit: int = VALUES_IN_ONE_TASK) -> FeatureModel:
+                 limit: int | None = None) -> FeatureModel:
     """Prune, then learn medians, means, deviations, kept bits and the projection of the bits."""
     if columns is None:
         columns, _ = split_feature_blocks(df)

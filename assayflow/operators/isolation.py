@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from assayflow import defaults
 from assayflow.functions.numbers import finite, flag
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK, exact_quantiles, quantile_values
+from assayflow.operators.quantiles import exact_quantiles, quantile_values
 
 # Parameters of the published algorithm.
 TREES = 100
@@ -54,7 +54,7 @@ class IsolationForest:
         self.contamination, self.seed = contamination, seed
         self.trees, self.sample = trees, sample
 
-    def fit(self, df: DataFrame, limit: int = VALUES_IN_ONE_TASK) -> "FittedForest":
+    def fit(self, df: DataFrame, limit: int | None = None) -> "FittedForest":
         known = df.select(*[finite(F.col(c)).alias(n) for c, n in zip(self.columns, _names(self.columns))])
         middle = exact_quantiles(known, known.columns, [0.5], limit=limit).first()
         center = {c: (middle[f"q_{n}"] or [0.0])[0] for c, n in zip(self.columns, _names(self.columns))}
@@ -170,7 +170,7 @@ class FittedForest:
             paths[t, node] = path
         return features, thresholds, paths
 
-    def threshold(self, df: DataFrame, limit: int = VALUES_IN_ONE_TASK) -> float:
+    def threshold(self, df: DataFrame, limit: int | None = None) -> float:
         """The score below which the contamination share of the rows lies."""
         scores = self.score(df, "s").select("s").persist(StorageLevel.MEMORY_AND_DISK)
         found = quantile_values(scores, ["s"], [self.forest.contamination], limit)["s"]
@@ -178,7 +178,7 @@ class FittedForest:
         return found[0] if found else float("-inf")
 
     def flag(self, df: DataFrame, name: str = "iso", score: str | None = None,
-             threshold: float | None = None, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+             threshold: float | None = None, limit: int | None = None) -> DataFrame:
         """Flag rows whose score is strictly below the threshold, by default that of these rows."""
         cut = self.threshold(df, limit) if threshold is None else threshold
         column = score or "_iso_score"

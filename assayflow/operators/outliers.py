@@ -13,7 +13,7 @@ from assayflow import defaults as D
 from assayflow.functions.numbers import flag, log10_positive, safe_ratio
 from assayflow.operators.isolation import FittedForest, IsolationForest, isolation_features
 from assayflow.operators.joins import join_groups
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK, exact_quantiles, quantile_values
+from assayflow.operators.quantiles import exact_quantiles, quantile_values
 from assayflow.operators.stats import group_median_mad
 from assayflow.sources.tables import cut_lineage
 
@@ -71,7 +71,7 @@ def _outside_any(logs: Sequence[str], fence) -> Column:
 def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.FENCE,
                  adaptive: bool = True, target_rate: float = D.TARGET_RATE,
                  fence_grid: Sequence[float] = D.FENCE_GRID, min_group_size: int = D.MIN_GROUP_SIZE,
-                 use_ratio: bool = True, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                 use_ratio: bool = True, limit: int | None = None) -> DataFrame:
     """One row per group: size, quartiles per measure, flag rate per fence, and the chosen fence.
 
     Groups of at least ``min_group_size`` rows take the tightest fence that flags no more than
@@ -83,6 +83,7 @@ def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.
     quartiles = exact_quantiles(rows, list(logs), [0.25, 0.75], [group], limit)
     quartiles = quartiles.select(group, "n_rows", *[F.get(f"q_{x}", i).alias(q) for x in logs
                                                     for i, q in enumerate(quartile_names([x]))])
+    quartiles = cut_lineage(quartiles)  # its size decides how it is joined
     if not adaptive:
         return quartiles.withColumn("fence", F.lit(float(fence)))
     joined = join_groups(rows, quartiles, [group], "left")
@@ -97,7 +98,7 @@ def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.
 
 def adaptive_iqr(df: DataFrame, a: str = "kcat_value", b: str = "km_value", group: str | None = "enzyme", *,
                  name: str = "kinetics_flag", fallback: str = "none", mad_cutoff: float = D.MAD_CUTOFF,
-                 use_ratio: bool = True, limit: int = VALUES_IN_ONE_TASK, keep_fence: bool = False,
+                 use_ratio: bool = True, limit: int | None = None, keep_fence: bool = False,
                  **options) -> DataFrame:
     """Add the flag of rows whose log10 value of a, b or a/b lies outside the fence of their group.
 
@@ -136,7 +137,7 @@ def _with_mad(df, fences, logs, group, limit) -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, values: dict[str, Column], fence: float = D.FENCE,
-               limit: int = VALUES_IN_ONE_TASK) -> dict[str, tuple[float, float] | None]:
+               limit: int | None = None) -> dict[str, tuple[float, float] | None]:
     """Bounds on the log10 scale over the whole table, per named value."""
     logs = df.select(*[log10_positive(x).alias(n) for n, x in values.items()])
     bounds = {}
@@ -146,7 +147,7 @@ def iqr_bounds(df: DataFrame, values: dict[str, Column], fence: float = D.FENCE,
 
 
 def fixed_iqr(df: DataFrame, a: str = "kcat_value", b: str = "km_value", fence: float = D.FENCE,
-              name: str = "kinetics_flag", limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+              name: str = "kinetics_flag", limit: int | None = None) -> DataFrame:
     """Flag by one fixed fence over the whole table. The bounds become literals: no join."""
     values = {"a": F.col(a), "b": F.col(b), "ratio": safe_ratio(F.col(a), F.col(b))}
     outside = []
@@ -162,7 +163,7 @@ def fixed_iqr(df: DataFrame, a: str = "kcat_value", b: str = "km_value", fence:
 def apply_outlier_strategy(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_value", b: str = "km_value",
                            group: str | None = "enzyme", rules: dict[str, Column] | None = None,
                            iso_columns: Sequence[str] | None = None, contamination: float = D.CONTAMINATION,
-                           isolation: bool = True, limit: int = VALUES_IN_ONE_TASK, **options) -> DataFrame:
+                           isolation: bool = True, limit: int | None = None, **options) -> DataFrame:
     """Keep the rows that pass domain rules, then the fences, then the isolation forest.
 
     Every stage is fitted on the survivors of the stage before.
@@ -179,7 +180,7 @@ def apply_outlier_strategy(df: DataFrame, *, row_id: Sequence[str], a: str = "kc
 
 
 def fit_forest(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], contamination: float,
-               limit: int) -> tuple[FittedForest, float]:
+               limit: int | None = None) -> tuple[FittedForest, float]:
     """The forest and its threshold. The columns it reads several times are kept until both are known."""
     inputs = df.select(*dict.fromkeys([*row_id, *columns])).persist(StorageLevel.MEMORY_AND_DISK)
     forest = IsolationForest(columns, row_id, contamination).fit(inputs, limit)
@@ -191,7 +192,7 @@ def fit_forest(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], con
 def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_value", b: str = "km_value",
                       group: str | None = "enzyme", rules: dict[str, Column] | None = None,
                       iso_columns: Sequence[str] | None = None, contamination: float = D.CONTAMINATION,
-                      isolation: bool = True, name: str = "outcome", limit: int = VALUES_IN_ONE_TASK,
+                      isolation: bool = True, name: str = "outcome", limit: int | None = None,
                       **options) -> DataFrame:
     """Label every row with the stage that drops it: domain_drop, kinetics_drop, iso_drop or kept.
 
@@ -227,7 +228,7 @@ def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_va
 def independent_masks(df: DataFrame, *, a: str = "kcat_value", b: str = "km_value", fence: float = D.FENCE,
                       rules: dict[str, Column] | None = None, row_id: Sequence[str] = (),
                       iso_columns: Sequence[str] | None = None, contamination: float = D.CONTAMINATION,
-                      isolation: bool = True, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                      isolation: bool = True, limit: int | None = None) -> DataFrame:
     """Flags of all rules side by side, each on the full table: domain, kinetics (one fence), iso."""
     rules = rules or default_rules(measures=(a, b))
     flags = fixed_iqr(df.withColumn("domain", domain_flag(df, rules)), a, b, fence, "kinetics", limit)

@@ -18,21 +18,25 @@ from pyspark.sql import functions as F
 from assayflow.operators.joins import join_groups
 from assayflow.sources.tables import cut_lineage
 
-VALUES_IN_ONE_TASK = 3_000_000
+# Values that one aggregation state may hold: for a whole table there is one state, for groups a task
+# holds up to spark.sql.objectHashAggregate.sortBased.fallbackThreshold (128) of them at a time.
+VALUES_OF_TABLE = 3_000_000
+VALUES_OF_GROUP = 100_000
 BINS = 4096
 
 
 def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                    by: Sequence[str] = (), limit: int | None = None) -> DataFrame:
     """One row per group: ``n_rows``, and per value column ``n_<value>`` and the array ``q_<value>``.
 
     Linear interpolation between neighbours; NULLs are left out; missing keys form one group.
+    ``limit`` is the number of values up to which a group is worked out in one task.
     """
     by, values, probs = list(by), list(values), [float(p) for p in probs]
     df = df.select(*by, *values)
     counts = [F.count(F.lit(1)).alias("n_rows"), *[F.count(v).alias(f"n_{v}") for v in values]]
     largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    limit = limit // max(len(values), 1)
+    limit = (limit or (VALUES_OF_GROUP if by else VALUES_OF_TABLE)) // max(len(values), 1)
     if largest <= limit:
         return _in_one_task(df, values, probs, by, counts)
 
@@ -91,12 +95,13 @@ def long_form(df: DataFrame, values: Sequence[str], by: Sequence[str]) -> DataFr
 
 
 def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = (),
-                     limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                     limit: int | None = None) -> DataFrame:
     """The values at 0-based ranks: (group, measure, rank, value).
 
     ``rows`` holds (group, measure, x). ``targets`` holds (group, measure, rank) with a bracket
     ``lo``..``hi`` known to contain the rank, ``below`` rows before it and ``inside`` rows in it.
     """
+    limit = min(limit or VALUES_OF_GROUP, VALUES_OF_GROUP)
     keys = [*by, "measure"]
     bracket = [*keys, "rank", "lo", "hi", "below", "inside"]
     settled = (F.col("inside") <= limit) | (F.col("lo") == F.col("hi"))
@@ -130,7 +135,7 @@ def _rows_in_bracket(rows, targets, keys) -> DataFrame:
 
 
 def quantile_values(df: DataFrame, values: Sequence[str], probs: Sequence[float],
-                    limit: int = VALUES_IN_ONE_TASK) -> dict[str, list[float] | None]:
+                    limit: int | None = None) -> dict[str, list[float] | None]:
     """Quantiles of whole columns as driver-side numbers: one fixed-size row is fetched."""
     if not values:
         return {}
@@ -140,6 +145,6 @@ def quantile_values(df: DataFrame, values: Sequence[str], probs: Sequence[float]
     return {v: row[f"q_v{i}"] for i, v in enumerate(values)}
 
 
-def medians(df: DataFrame, values: Sequence[str], limit: int = VALUES_IN_ONE_TASK) -> dict[str, float | None]:
+def medians(df: DataFrame, values: Sequence[str], limit: int | None = None) -> dict[str, float | None]:
     found = quantile_values(df, values, [0.5], limit)
     return {v: q[0] if q else None for v, q in found.items()}

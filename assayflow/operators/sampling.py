@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assayflow import defaults
 from assayflow.functions.numbers import hash_bucket, hash_percent, hash_rank, id_hash
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK, order_statistics
+from assayflow.operators.quantiles import order_statistics
 
 
 def _ids(row_id: Sequence[str] | str) -> list[Column]:
@@ -24,7 +24,7 @@ def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
 
 
 def smallest_hashes(df: DataFrame, row_id: Sequence[str] | str, label: str, take: dict[str, int],
-                    counts: dict[str, int], limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                    counts: dict[str, int], limit: int | None = None) -> DataFrame:
     """Exactly ``take[label]`` rows per label: those with the smallest id hash.
 
     The hash at the wanted rank is found by narrowing a histogram, after which the sample is a
@@ -54,7 +54,7 @@ def smallest_hashes(df: DataFrame, row_id: Sequence[str] | str, label: str, take
     return kept.unionByName(chosen)
 
 
-def capped_sample(df: DataFrame, row_id: Sequence[str] | str, n: int, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+def capped_sample(df: DataFrame, row_id: Sequence[str] | str, n: int, limit: int | None = None) -> DataFrame:
     """All rows when there are no more than n, else n of them."""
     total = df.count()
     if total <= n:
@@ -64,7 +64,7 @@ def capped_sample(df: DataFrame, row_id: Sequence[str] | str, n: int, limit: int
 
 
 def stratified_sample(df: DataFrame, row_id: Sequence[str] | str, label: str, size: int,
-                      floors: dict[str, int], default_floor: int, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                      floors: dict[str, int], default_floor: int, limit: int | None = None) -> DataFrame:
     """Proportional share per label, at least a floor, at most the label's rows.
 
     A table of no more than ``size`` rows comes back whole. Labels are few: their counts are fetched.
@@ -91,7 +91,7 @@ def hash_folds(df: DataFrame, row_id: Sequence[str] | str, folds: int = 3, name:
 
 
 def tuning_subset(df: DataFrame, row_id: Sequence[str] | str, n: int = 30_000, validation_percent: int = 25,
-                  name: str = "is_validation", limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                  name: str = "is_validation", limit: int | None = None) -> DataFrame:
     """A capped sample with a validation mark, chosen independently of the sample."""
     sample = capped_sample(df, row_id, n, limit)
     return sample.withColumn(name, hash_bucket(100, F.lit("tune"), *_ids(row_id)) < validation_percent)

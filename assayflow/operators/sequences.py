@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow.functions import sequence as S
-from assayflow.operators.joins import join_groups
 
 # Published per-residue tables.
 # Hydropathy: Kyte and Doolittle 1982.
@@ -101,17 +100,19 @@ def weighted(parts: Mapping[str, Column], weights: Mapping[str, float]) -> Colum
 def bigram_score(df: DataFrame, row_id: str, weights: DataFrame, column: str = "sequence") -> DataFrame:
     """(row id, score): 10 / length times the sum of the weights of adjacent letter pairs.
 
-    ``weights`` holds (pair, weight) and is checked to be small. Pairs are summed inside the task
-    that reads the row, so one partial sum per row is shuffled and no letters are. Pairs without a
-    weight add nothing; short sequences score NULL.
+    ``weights`` holds (pair, weight) and is broadcast after a check of its size. Pairs are summed
+    inside the task that reads the row, so one partial sum per row is shuffled and no letters are.
+    Pairs without a weight add nothing; short sequences score NULL.
     """
+    weights = weights.select("pair", "weight").filter(F.length("pair") == 2)
     if weights.count() > MAX_PAIR_WEIGHTS:
         raise ValueError(f"more than {MAX_PAIR_WEIGHTS} letter pairs: not a pair weight table")
     rows = normalize_sequence(df.select(row_id, column), column)
-    rows = rows.select(row_id, F.when(long_enough(), F.col("clean_sequence")).alias("clean"))
+    clean = F.when(long_enough(), F.col("clean_sequence"))
+    rows = rows.select(row_id, clean.alias("clean"), F.octet_length(clean).alias("length"))
     pairs = F.regexp_extract_all(F.col("clean"), F.lit("(?=(..))"), 1)
-    exploded = rows.select(row_id, F.octet_length("clean").alias("length"), F.explode_outer(pairs).alias("pair"))
-    scored = join_groups(exploded, weights.select("pair", "weight"), ["pair"], "left")
+    exploded = rows.select(row_id, "length", F.explode_outer(pairs).alias("pair"))
+    scored = exploded.join(F.broadcast(weights), "pair", "left")
     return (scored.groupBy(row_id)
             .agg(F.sum(F.coalesce("weight", F.lit(0.0))).alias("total"), F.max("length").alias("length"))
             .select(row_id, (F.lit(10.0) / F.col("length") * F.col("total")).alias("score")))

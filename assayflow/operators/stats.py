@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from assayflow import defaults
 from assayflow.functions.numbers import finite, flag, log10_positive
 from assayflow.operators.joins import join_groups
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK, exact_quantiles, quantile_values
+from assayflow.operators.quantiles import exact_quantiles, quantile_values
+from assayflow.sources.tables import cut_lineage
 
 NARROW_COLUMNS = 12
 
 
-def group_quartiles(df: DataFrame, group: str, value: str, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+def group_quartiles(df: DataFrame, group: str, value: str, limit: int | None = None) -> DataFrame:
     """(group, n_rows, n_valid, q1, q3) of log10 of the positive values."""
     logs = df.select(group, log10_positive(F.col(value)).alias("x"))
     found = exact_quantiles(logs, ["x"], [0.25, 0.75], [group], limit)
@@ -33,11 +34,12 @@ def group_flag_rate(df: DataFrame, group: str, flagged: Column) -> DataFrame:
 
 
 def group_median_mad(df: DataFrame, values: Sequence[str], by: Sequence[str] = (),
-                     limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                     limit: int | None = None) -> DataFrame:
     """Per group: ``med_<v>`` and ``mad_<v>``, the median distance from the median."""
     middle = exact_quantiles(df, values, [0.5], by, limit)
     middle = middle.select(*by, *[F.get(f"q_{v}", 0).alias(f"med_{v}") for v in values])
     if by:
+        middle = cut_lineage(middle)  # its size decides how it is joined
         rows = join_groups(df.select(*by, *values), middle, by)
         distances = rows.select(*by, *[F.abs(F.col(v) - F.col(f"med_{v}")).alias(v) for v in values])
     else:
@@ -146,7 +148,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
                  F.col(c).alias("n_known")) for c, t in df.dtypes])))
 
 
-def list_length_stats(df: DataFrame, column: str, limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+def list_length_stats(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of the list lengths."""
     lengths = df.select(F.size(column).cast("double").alias("x")).filter(F.col("x") >= 0)
     quartiles = quantile_values(lengths, ["x"], [0.25, 0.5, 0.75], limit)["x"] or [None] * 3
@@ -197,7 +199,7 @@ def log_histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFra
 
 
 def fence_positions(df: DataFrame, value: str, fence: float = defaults.FENCE,
-                    limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                    limit: int | None = None) -> DataFrame:
     """Range of log10 values, the fences, and where the fences lie in percent of the range."""
     logs = df.select(log10_positive(F.col(value)).alias("x"))
     q1, q3 = quantile_values(logs, ["x"], [0.25, 0.75], limit)["x"] or (None, None)
@@ -210,7 +212,7 @@ def fence_positions(df: DataFrame, value: str, fence: float = defaults.FENCE,
 
 
 def quantile_cut(df: DataFrame, score: str, q: float, name: str = "is_low",
-                 limit: int = VALUES_IN_ONE_TASK) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """Flag scores strictly below their quantile."""
     found = quantile_values(df, [score], [q], limit)[score]
     below = flag(F.col(score) < F.lit(found[0])) if found else F.lit(False)

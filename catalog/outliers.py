@@ -6,7 +6,6 @@ from assayflow.functions.numbers import safe_ratio
 from assayflow.operators import outliers as O
 from assayflow.operators import parsing
 from assayflow.operators.isolation import IsolationForest
-from assayflow.operators.quantiles import VALUES_IN_ONE_TASK
 from assayflow.operators.stats import histogram
 from assayflow.sources.tables import cut_lineage
 from catalog import query
@@ -228,7 +227,7 @@ def isolation_forest(spark, sf_dir):
 @query("isolation_scores")
 def isolation_scores(spark, sf_dir):
     df = _lines(spark, sf_dir)
-    forest, cut = O.fit_forest(df, ISO_COLUMNS, LINE_ID, 0.01, VALUES_IN_ONE_TASK)
+    forest, cut = O.fit_forest(df, ISO_COLUMNS, LINE_ID, 0.01)
     return forest.score(df, "score").withColumns({"threshold": F.lit(cut), "iso": F.col("score") < F.lit(cut)})
 
 
