@@ -126,10 +126,8 @@ def ph_rich(text: Column) -> Parsed:
     """Words, ranges (midpoint) and leading numbers."""
     t = lower_stripped(text)
     unavailable = F.coalesce(t == "", F.lit(True)) | contains_any(t, PH_RICH_MISSING)
-    word_value, is_word = F, F.lit(False)
-    for word, number in PH_WORDS:
-        word_value = word_value.when(t.contains(word), F.lit(number))
-        is_word = is_word | t.contains(word)
+    word_value = F.coalesce(*[F.when(t.contains(word), F.lit(number)) for word, number in PH_WORDS])
+    is_word = word_value.isNotNull()
     low = to_double(first_match(t, PH_RANGE_PATTERN, 1))
     high = to_double(first_match(t, PH_RANGE_PATTERN, 2))
     single = to_double(first_match(t, PH_NUMBER_PATTERN, 1))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector

@@ -202,7 +202,6 @@ def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_va
     labelled = df.withColumn("_dom", domain_flag(df, rules))
     masked = labelled.withColumns({"_a": F.when(~F.col("_dom"), F.col(a)), "_b": F.when(~F.col("_dom"), F.col(b))})
     survivors = masked.filter(~F.col("_dom"))
-    fences = None
     if group is None or group not in df.columns:
         group = "_whole"
         masked = masked.withColumn(group, F.lit(1))

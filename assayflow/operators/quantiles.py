@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayflow.functions.numbers import nan_to_null
 from assayflow.operators.joins import join_groups
 from assayflow.sources.tables import cut_lineage
 
@@ -29,11 +30,11 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Sequence[float]
                     by: Sequence[str] = (), limit: int | None = None) -> DataFrame:
     """One row per group: ``n_rows``, and per value column ``n_<value>`` and the array ``q_<value>``.
 
-    Linear interpolation between neighbours; NULLs are left out; missing keys form one group.
+    Linear interpolation between neighbours; NULL and NaN are left out; missing keys form one group.
     ``limit`` is the number of values up to which a group is worked out in one task.
     """
     by, values, probs = list(by), list(values), [float(p) for p in probs]
-    df = df.select(*by, *values)
+    df = df.select(*by, *[nan_to_null(F.col(v).cast("double")).alias(v) for v in values])
     counts = [F.count(F.lit(1)).alias("n_rows"), *[F.count(v).alias(f"n_{v}") for v in values]]
     largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     limit = (limit or (VALUES_OF_GROUP if by else VALUES_OF_TABLE)) // max(len(values), 1)
@@ -108,10 +109,9 @@ def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = ()
     targets = cut_lineage(targets.select(*bracket))
     while not targets.filter(~settled).isEmpty():
         wide = targets.filter(~settled)
-        place = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
         # Ranks in the same bracket share its bins, so a row is counted once for all of them.
         bins = (_rows_in_bracket(rows, wide.select(*keys, "lo", "hi", "below").distinct(), keys)
-                .withColumn("bin", F.least(place, F.lit(BINS - 1)))
+                .withColumn("bin", _bin(F.col("x"), F.col("lo"), F.col("hi")))
                 .groupBy(*keys, "below", "bin")
                 .agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("inside")))
         in_order = Window.partitionBy(*keys, "below").orderBy("bin")
@@ -129,6 +129,17 @@ def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = ()
     return single.unionByName(gathered)
 
 
+def _bin(x: Column, lo: Column, hi: Column) -> Column:
+    """Bins of equal width that never fall with x. The ends have bins of their own.
+
+    So every pass tells the ends apart, also when they are infinite or too far apart for a double.
+    """
+    share = F.try_divide(x / 2 - lo / 2, hi / 2 - lo / 2)
+    inner = F.floor(F.coalesce(F.nanvl(share, F.lit(0.5)), F.lit(0.5)) * (BINS - 2))
+    return (F.when(x == lo, F.lit(0).cast("bigint")).when(x == hi, F.lit(BINS - 1).cast("bigint"))
+            .otherwise(F.least(inner, F.lit(BINS - 3)) + 1))
+
+
 def _rows_in_bracket(rows, targets, keys) -> DataFrame:
     return (join_groups(rows, targets, keys)
             .filter(F.col("x").between(F.col("lo"), F.col("hi"))))

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayflow import defaults
 from assayflow.functions.numbers import hash_bucket, hash_percent, hash_rank, id_hash
 from assayflow.operators.quantiles import order_statistics
 

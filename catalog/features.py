@@ -75,6 +75,33 @@ def pca_explained_pair(spark, sf_dir):
     return features.explained_variance(pca, df).withColumns({c: F.round(c, 6) for c in ("ratio", "cumulative")})
 
 
+@query("pca_project_pair", over("v_corr5", """
+, s as (select avg(x0) as a0, stddev_pop(x0) as s0, avg(x2) as a2, stddev_pop(x2) as s2, sign(corr(x0,x2)) as r from v)
+select x0, x2, round(abs((x0-a0)/s0 + r*(x2-a2)/s2)/sqrt(2),5) as first, round(abs((x0-a0)/s0 - r*(x2-a2)/s2)/sqrt(2),5) as second
+from v, s"""))
+def pca_project_pair(spark, sf_dir):
+    df = view(spark, sf_dir, "v_corr5").select("x0", "x2")
+    scaled = features.standardize(df.withColumns({"z0": F.col("x0"), "z2": F.col("x2")}), ["z0", "z2"])
+    scaled = scaled.select("x0", "x2", array_to_vector(F.array("z0", "z2")).alias("v"))
+    scaler, pca = features.fit_projection(scaled, "v", 2)
+    return pca.transform(scaler.transform(scaled)).select(
+        "x0", "x2", *[F.round(F.abs(vector_to_array("_projected")[i]), 5).alias(n) for i, n in enumerate(("first", "second"))])
+
+
+@query("prepare_features_bits", f"""with {BITS},
+t as (select count(*)::double as n, avg(length(url)) as m, stddev_pop(length(url)) as s from pages),
+k as (select bit from o, t group by bit, n having count(*)/n*(1-count(*)/n) > 0.01),
+c as (select row_id, count(*) as n_on from o join k using (bit) group by row_id)
+select page_id as row_id, round((length(url)-m)/s,5)+0.0 as scaled_length, coalesce(n_on,0)::double as n_on
+from pages left join c on page_id=row_id, t""")
+def prepare_features_bits(spark, sf_dir):
+    df = _page_rows(spark, sf_dir)
+    out = features.fit_features(df, ["tok_length"], "fp_bits", components=None).transform(df)
+    parts = vector_to_array("features")
+    total = F.aggregate(F.slice(parts, 2, 256), F.lit(0.0), lambda a, x: a + x)
+    return out.select("row_id", (F.round(parts[0], 5) + F.lit(0.0)).alias("scaled_length"), total.alias("n_on"))
+
+
 def _page_rows(spark, sf_dir):
     rows = cut_lineage(add_notation_features(view(spark, sf_dir, "v_notation", spread=True), "notation"))
     return rows.withColumn("kcat_value", F.col("tok_length").cast("double"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from assayflow.operators import sampling
 from catalog import query
-from catalog.views import table, view
+from catalog.views import table
 
 BUCKET = "(('0x'||substr(md5({id}),1,8))::bigint % {n})::int"
 EVENT = "event_id::varchar"

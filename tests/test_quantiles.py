@@ -49,3 +49,14 @@ def test_one_value_repeated(spark, limit):
 
 def test_empty_table(spark):
     assert medians(spark.range(0).select(F.lit(1.0).alias("x")), ["x"]) == {"x": None}
+
+
+@pytest.mark.parametrize("limit", [5, 1_000_000])
+def test_extreme_values(spark, limit):
+    rng = np.random.default_rng(6)
+    scales = [1.7e308, 1.0, 5e-324, 1e-300, 1e12]
+    values = [float(s * u) for s in scales for u in rng.uniform(-1, 1, 400)] + [0.0]
+    values[:100], values[100:150] = [float("inf")] * 100, [float("-inf")] * 50
+    df = spark.createDataFrame([(v,) for v in values + [float("nan")] * 40], "x double").repartition(4)
+    found = quantile_values(df, ["x"], [0.05, 0.25, 0.5, 0.75, 0.9], limit)["x"]
+    assert found == [sorted(values)[i] for i in (100, 500, 1000, 1500, 1800)]
