@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from assayflow.sources.tables import cut_lineage
 
-__all__ = ["append", "components", "cut_lineage", "lower_ascii", "utf8"]
+__all__ = ["append", "components", "cut_lineage", "lower_ascii", "sift", "utf8"]
 
+#: Words of 64 bits in the filter that spares rows without a partner a shuffle. It is broadcast and never larger.
+FILTER = 1 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -67,6 +69,21 @@ def _arrow(kind: T.DataType) -> pa.DataType:
             "boolean": pa.bool_(), "binary": pa.binary()}[kind.simpleString()]
 
 
+def sift(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be among the keys of ``wanted``: none of those is lost, and few others pass.
+
+    One bit per wanted key in a table of fixed size, so the broadcast does not grow with the data; when it fills up, more
+    rows pass and later joins sort them out.
+    """
+    def word(c):
+        return F.pmod(c, F.lit(FILTER)).cast("int")
+
+    bit = F.expr(f"shiftleft(1L, cast(pmod(shiftright({key}, 24), 64) as int))")
+    bits = wanted.select(word(F.col(key)).alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    hit = rows.join(F.broadcast(bits), word(F.col(key)) == F.col("__word"))
+    return hit.where(F.col("__bits").bitwiseAND(bit) != 0).drop("__word", "__bits")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the links (a, b) between longs: one row (node, component) per linked node.
 
