@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow import defaults
-from assayflow.functions.numbers import finite
+from assayflow.functions.numbers import finite, nan_to_null
 from assayflow.operators.parsing import normalize_ids
 from assayflow.operators.quantiles import medians, quantile_values
 
@@ -83,13 +83,13 @@ def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], low: float = 0.1, high: float = 99.9) -> DataFrame:
-    """Pull values outside the two percentiles back to them; missing stays missing."""
+    """Pull values outside the two percentiles back to them; missing stays missing, NaN becomes missing."""
     bounds = quantile_values(df, columns, [low / 100, high / 100])
     clipped = {}
     for c in columns:
         if bounds[c]:
             lo, hi = bounds[c]
-            x = F.col(c)
+            x = nan_to_null(F.col(c).cast("double"))
             clipped[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x)
     return df.withColumns(clipped)
 

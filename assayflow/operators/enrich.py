@@ -30,8 +30,8 @@ def enrich_left_join(df: DataFrame, properties: DataFrame, key: str) -> DataFram
 
 
 def log_min_max_mean(df: DataFrame, key: str, measure: str, value: str,
-                     measures: Sequence[str]) -> DataFrame:
-    """Per key: min, max and mean of log10 of the positive values of each measure; 0 when none."""
+                     measures: Sequence[str], absent: str = "zero") -> DataFrame:
+    """Per key: min, max and mean of log10 of the positive values of each measure; 0, or NULL, when none."""
     number = F.col(value)
     if dict(df.dtypes)[value] == "string":
         number = coerce_numeric(number)
@@ -40,7 +40,7 @@ def log_min_max_mean(df: DataFrame, key: str, measure: str, value: str,
     for m in measures:
         x = F.when(F.col(measure) == m, F.col("x"))
         for name, f in zip(STATISTICS, (F.min, F.max, F.avg)):
-            wanted.append(F.coalesce(f(x), F.lit(0.0)).alias(f"{m}_{name}"))
+            wanted.append((F.coalesce(f(x), F.lit(0.0)) if absent == "zero" else f(x)).alias(f"{m}_{name}"))
     return rows.groupBy(key).agg(*wanted)
 
 
@@ -53,7 +53,7 @@ def code_list_enrich(df: DataFrame, column: str, lookup: DataFrame, measures: Se
     and means by mean over the row's codes. A code that is not in the lookup counts as 0, or with
     ``absent='null'`` is left out. Every distinct list is worked out once and joined back.
     """
-    per_code = log_min_max_mean(lookup, code, measure, value, measures).withColumn("known", F.lit(1))
+    per_code = log_min_max_mean(lookup, code, measure, value, measures, absent).withColumn("known", F.lit(1))
     filler = F.lit(0.0) if absent == "zero" else F.lit(None).cast("double")
     filled = lambda name: F.coalesce(F.col(name), filler)
     is_array = dict(df.dtypes)[column].startswith("array")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assayflow import defaults as D
 from assayflow.functions.notation import bits_to_array
-from assayflow.functions.numbers import finite
+from assayflow.functions.numbers import finite, nan_to_null
 from assayflow.operators.clean import split_feature_blocks
 from assayflow.operators.quantiles import medians
 from assayflow.operators.stats import bit_variance, corr_pairs
@@ -40,13 +40,14 @@ def correlation_prune(df: DataFrame, columns: Sequence[str], threshold: float =
 
 def median_impute(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> DataFrame:
     middle = medians(df, columns, limit)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(middle[c])) for c in columns})
+    return df.withColumns({c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(middle[c])) for c in columns})
 
 
 def mean_and_scale(df: DataFrame, columns: dict[str, Column]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column from one aggregate; a deviation of 0 becomes 1."""
+    """Mean and population deviation of the finite values per column from one aggregate; a deviation of 0 becomes 1."""
     if not columns:
         return {}
+    columns = {c: finite(x) for c, x in columns.items()}
     row = df.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(columns.values())
                    for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
@@ -54,7 +55,7 @@ def mean_and_scale(df: DataFrame, columns: dict[str, Column]) -> dict[str, tuple
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     stats = mean_and_scale(df, {c: F.col(c) for c in columns})
-    return df.withColumns({c: (F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1]) for c in columns})
+    return df.withColumns({c: (finite(F.col(c)) - F.lit(stats[c][0])) / F.lit(stats[c][1]) for c in columns})
 
 
 def variance_filter(df: DataFrame, bits_column: str, bits: int = D.FINGERPRINT_BITS,

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 from assayflow import defaults
 from assayflow.functions.numbers import finite, flag
 from assayflow.operators.quantiles import exact_quantiles, quantile_values
+from assayflow.sources.tables import cut_lineage
 
 # Parameters of the published algorithm.
 TREES = 100
@@ -66,25 +66,22 @@ class IsolationForest:
     def _samples(self, df: DataFrame, center: dict[str, float], n: int) -> DataFrame:
         """At most ``sample`` rows per tree, picked by a hash of the row id.
 
-        A hash threshold thins the rows out before anything is shuffled. On large tables a row is a
-        candidate for one tree; on small ones it may serve in several.
+        One rule at any table size: a row is a candidate for each tree with the same chance p, independently. The first
+        such tree of a row is drawn from the geometric distribution, which leaves most rows of a large table
+        after one hash; only rows that have one are asked about the trees after it.
         """
         ids = F.concat_ws("-", F.lit(self.seed), *[F.col(c).cast("string") for c in self.row_id])
         rows = df.select(ids.alias("id"), *_filled(self.columns, center))
-        wanted = OVERSAMPLING * self.sample
-        if n >= wanted * self.trees:
-            digest, share = F.md5("id"), wanted * self.trees / n
-            rows = rows.withColumn("digest", digest)
-            rows = rows.withColumn("tree", F.pmod(F.conv(F.substring("digest", 14, 8), 16, 10).cast("bigint"),
-                                                  F.lit(self.trees)).cast("int"))
-        else:
-            share = wanted / max(n, 1)
-            rows = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
-            rows = rows.withColumn("digest", F.md5(F.concat_ws("-", "tree", "id")))
-        uniform = F.conv(F.substring("digest", 1, 13), 16, 10).cast("double") / float(16 ** 13)
+        chance = min(1.0, OVERSAMPLING * self.sample / max(n, 1))
+        uniform = lambda text: F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(16 ** 13)
+        first = F.lit(0) if chance == 1 else F.floor(F.log1p(-uniform(F.concat_ws("-", F.lit("first"), "id"))) / F.lit(math.log1p(-chance)))
+        rows = rows.withColumn("first", first.cast("bigint")).filter(F.col("first") < self.trees)
+        trees = F.filter(F.sequence(F.col("first").cast("int"), F.lit(self.trees - 1)),
+                         lambda t: (t == F.col("first")) | (uniform(F.concat_ws("-", F.lit("later"), t.cast("string"), F.col("id"))) < chance))
+        rows = rows.withColumn("tree", F.explode(trees)).withColumn("digest", F.md5(F.concat_ws("-", "tree", "id")))
         in_order = Window.partitionBy("tree").orderBy("digest", *_names(self.columns))
-        return (rows.filter(uniform < share).withColumn("rank", F.row_number().over(in_order))
-                .filter(F.col("rank") <= self.sample).drop("id", "digest"))
+        return (rows.withColumn("rank", F.row_number().over(in_order))
+                .filter(F.col("rank") <= self.sample).drop("id", "digest", "first"))
 
 
 def _names(columns: Sequence[str]) -> list[str]:
@@ -172,15 +169,22 @@ class FittedForest:
 
     def threshold(self, df: DataFrame, limit: int | None = None) -> float:
         """The score below which the contamination share of the rows lies."""
-        scores = self.score(df, "s").select("s").persist(StorageLevel.MEMORY_AND_DISK)
-        found = quantile_values(scores, ["s"], [self.forest.contamination], limit)["s"]
-        scores.unpersist()
+        return self._threshold_of(cut_lineage(self.score(df, "s").select("s")), "s", limit)
+
+    def _threshold_of(self, scored: DataFrame, column: str, limit: int | None) -> float:
+        found = quantile_values(scored, [column], [self.forest.contamination], limit)[column]
         return found[0] if found else float("-inf")
 
     def flag(self, df: DataFrame, name: str = "iso", score: str | None = None,
              threshold: float | None = None, limit: int | None = None) -> DataFrame:
-        """Flag rows whose score is strictly below the threshold, by default that of these rows."""
-        cut = self.threshold(df, limit) if threshold is None else threshold
+        """Flag rows whose score is strictly below the threshold, by default that of these rows.
+
+        Rows are scored once: the scored rows are written, and the threshold is found there.
+        """
         column = score or "_iso_score"
-        scored = self.score(df, column).withColumn(name, flag(F.col(column) < F.lit(cut)))
+        scored = self.score(df, column)
+        if threshold is None:
+            scored = cut_lineage(scored)
+            threshold = self._threshold_of(scored, column, limit)
+        scored = scored.withColumn(name, flag(F.col(column) < F.lit(threshold)))
         return scored if score else scored.drop(column)

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayflow import defaults
-from assayflow.functions.numbers import hash_bucket, log10_positive
+from assayflow.functions.numbers import hash_bucket, log10_positive, safe_ratio
 from assayflow.operators.evaluation import regression_metrics
 from assayflow.operators.sampling import hash_folds, hash_split, tuning_subset
+from assayflow.sources.tables import cut_lineage, shared_folder
 
 # The published settings of the boosted trees and their searches.
 GBT_FIXED = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
@@ -184,7 +185,7 @@ def search_report(fitted) -> DataFrame:
 def tuned_forest(train: DataFrame, row_id: Sequence[str] | str, draws: int = SEARCH_DRAWS, subset: int = 30_000,
                  space: dict = FOREST_SEARCH, seed: int = defaults.SEED) -> Model:
     """Forest parameters from a search on a capped subset; the winner is refitted on all rows."""
-    estimator = random_forest()
+    estimator = random_forest(seed=seed)
     maps = _param_maps(estimator, space, draws, seed)
     subset_rows = tuning_subset(train, row_id, subset)
     evaluator = RegressionEvaluator(metricName="rmse")
@@ -196,26 +197,42 @@ def tuned_forest(train: DataFrame, row_id: Sequence[str] | str, draws: int = SEA
     return estimator.fit(train, maps[min(scores)[1]])
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(number of rounds up to the smallest error, whether ``patience`` rounds without improvement followed it)."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def early_stopped_trees(train: DataFrame, row_id: Sequence[str] | str, space: dict = GBT_STOP_SEARCH,
-                        loss: str = "squared", draws: int = 20, max_iter: int = 2000, tolerance: float = 0.01,
+                        loss: str = "squared", draws: int = 20, max_iter: int = 2000, patience: int = 50,
                         seed: int = defaults.SEED, validation_percent: int = 25) -> GBTRegressionModel:
-    """Boosted trees that stop when validation rows stop improving; refitted at the best length.
+    """Boosted trees at the round of the smallest validation error, refitted on all rows at that length.
 
-    ``loss='absolute'`` gives the L1 objective.
+    Training waits ``patience`` rounds for an improvement. The first rounds of a longer training are those of a shorter
+    one, so the length is doubled until the wait has run out or ``max_iter`` is reached. ``loss='absolute'``
+    gives the L1 objective.
     """
+    shared_folder(train.sparkSession)  # node ids are checkpointed there
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
     marked = train.withColumn("is_validation", hash_bucket(100, F.lit("tune"), *[F.col(c) for c in ids])
                               < validation_percent).cache()
-    check = marked.filter(F.col("is_validation"))
-    evaluator = RegressionEvaluator(metricName="rmse")
-    base = boosted_trees(seed=seed, maxIter=max_iter, lossType=loss)
-    stopping = base.copy({base.validationIndicatorCol: "is_validation", base.validationTol: tolerance})
-    best = None
-    for params in _param_maps(stopping, space, draws, seed):
-        model = stopping.fit(marked, params)
-        score = evaluator.evaluate(model.transform(check))
-        if best is None or score < best[0]:
-            best = (score, params, model.getNumTrees)
+    check, rest = marked.filter(F.col("is_validation")), marked.filter(~F.col("is_validation"))
+    base, best = boosted_trees(seed=seed, lossType=loss), None
+    for params in _param_maps(base, space, draws, seed):
+        length = min(max_iter, 2 * patience)
+        while True:
+            errors = base.fit(rest, {**params, base.maxIter: length}).evaluateEachIteration(check, loss)
+            rounds, waited = best_round(errors, patience)
+            if waited or length >= max_iter:
+                break
+            length = min(max_iter, 2 * length)
+        if best is None or errors[rounds - 1] < best[0]:
+            best = (errors[rounds - 1], params, rounds)
     marked.unpersist()
     return base.fit(train, {**best[1], base.maxIter: best[2]})
 
@@ -228,20 +245,26 @@ def feature_importance(model: Model, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def with_ratio(df: DataFrame, targets: Sequence[str], parts: Sequence[str] = ("kcat_value", "km_value"), name: str = "kcat_km") -> DataFrame:
+    """Derive the ratio target when it is wanted, is no column and its parts are."""
+    wanted = name in targets and name not in df.columns and set(parts) <= set(df.columns)
+    return df.withColumn(name, safe_ratio(F.col(parts[0]), F.col(parts[1]))) if wanted else df
+
+
 def compare_models(df: DataFrame, targets: Sequence[str], features: str, row_id: Sequence[str] | str,
                    fits: dict[str, Callable[[DataFrame], Model]], test_percent: int = 20) -> DataFrame:
     """(target, model, label, prediction) on the held-out rows for every target and model.
 
-    Targets without usable rows are skipped.
+    The ratio target is derived when absent. Targets without usable rows are skipped; without any, the table is empty.
     """
-    stacked = None
+    df = with_ratio(df, targets)
+    stacked = df.sparkSession.createDataFrame([], "target string, model string, label double, prediction double")
     for target in targets:
         if target not in df.columns:
             continue
-        rows = model_rows(df, target, features, row_id, test_percent).cache()
+        rows = cut_lineage(model_rows(df, target, features, row_id, test_percent))
         if not rows.isEmpty():
             for name, fit in fits.items():
-                part = fit(train_part(rows)).transform(test_part(rows)).select(
-                    F.lit(target).alias("target"), F.lit(name).alias("model"), "label", "prediction")
-                stacked = part if stacked is None else stacked.unionByName(part)
+                stacked = stacked.unionByName(fit(train_part(rows)).transform(test_part(rows)).select(
+                    F.lit(target).alias("target"), F.lit(name).alias("model"), "label", "prediction"))
     return stacked

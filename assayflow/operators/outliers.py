@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow import defaults as D
-from assayflow.functions.numbers import flag, log10_positive, safe_ratio
+from assayflow.functions.numbers import flag, log10_positive, nan_to_null, safe_ratio
 from assayflow.operators.isolation import FittedForest, IsolationForest, isolation_features
 from assayflow.operators.joins import join_groups
 from assayflow.operators.quantiles import exact_quantiles, quantile_values
@@ -29,13 +29,14 @@ def default_rules(ph: str = "pH_value", temperature: str = "temperature_C",
                   measures: Sequence[str] = ("kcat_value", "km_value"),
                   unknown: str = "unknown_frac") -> dict[str, Column]:
     """{column: predicate of a value that cannot be right}. Extend or replace as needed."""
+    known = lambda c: nan_to_null(F.col(c).cast("double"))
     rules = {
-        ph: (F.col(ph) <= D.PH_RANGE[0]) | (F.col(ph) > D.PH_RANGE[1]),
-        temperature: ((F.col(temperature) < D.TEMPERATURE_RANGE[0])
-                      | (F.col(temperature) > D.TEMPERATURE_RANGE[1])),
-        unknown: F.col(unknown) > D.MAX_UNKNOWN_FRACTION,
+        ph: (known(ph) <= D.PH_RANGE[0]) | (known(ph) > D.PH_RANGE[1]),
+        temperature: ((known(temperature) < D.TEMPERATURE_RANGE[0])
+                      | (known(temperature) > D.TEMPERATURE_RANGE[1])),
+        unknown: known(unknown) > D.MAX_UNKNOWN_FRACTION,
     }
-    return rules | {m: F.col(m) <= 0 for m in measures}
+    return rules | {m: known(m) <= 0 for m in measures}
 
 
 def domain_flag(df: DataFrame, rules: dict[str, Column] | None = None) -> Column:

@@ -22,35 +22,34 @@ def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
     return df.orderBy(F.desc(by), tie).limit(k)
 
 
-def smallest_hashes(df: DataFrame, row_id: Sequence[str] | str, label: str, take: dict[str, int],
-                    counts: dict[str, int], limit: int | None = None) -> DataFrame:
-    """Exactly ``take[label]`` rows per label: those with the smallest id hash.
+def smallest_hashes(df: DataFrame, row_id: Sequence[str] | str, label: str, take: dict[str | None, int],
+                    counts: dict[str | None, int], limit: int | None = None) -> DataFrame:
+    """Exactly ``take[label]`` rows per label: those with the smallest id hash. A missing label is a label.
 
-    The hash at the wanted rank is found by narrowing a histogram, after which the sample is a
-    filter. Only the sample itself is ever sorted, to settle equal hashes at the edge.
+    The hash at the wanted rank is found by narrowing a histogram, after which the sample is a filter: rows
+    below that hash are in, and only rows equal to it are ever ranked.
     """
-    rank_of = hash_rank(*_ids(row_id))
-    whole = [c for c in take if take[c] >= counts[c]]
-    partial = {c: n for c, n in take.items() if 0 < n < counts[c]}
-    kept = df.filter(F.col(label).isin(whole))
-    if not partial:
-        return kept
-    top = float(16 ** 13)
-    targets = df.sparkSession.createDataFrame(
-        [(c, n - 1, 0.0, top, 0, counts[c]) for c, n in partial.items()],
-        "measure string, rank bigint, lo double, hi double, below bigint, inside bigint")
-    rows = df.filter(F.col(label).isin(list(partial))).select(F.col(label).alias("measure"), rank_of.alias("x"))
-    edges = {r["measure"]: r["value"] for r in order_statistics(rows, targets, (), limit).collect()}
-    below = F.lit(False)
-    for c, edge in edges.items():
-        below = below | ((F.col(label) == c) & (rank_of <= edge))
-    in_order = Window.partitionBy(label).orderBy(id_hash(*_ids(row_id)), *_ids(row_id))
-    allowed = F.lit(0)
-    for c, n in partial.items():
-        allowed = F.when(F.col(label) == c, n).otherwise(allowed)
-    chosen = (df.filter(below).withColumn("_rank", F.row_number().over(in_order))
-              .filter(F.col("_rank") <= allowed).drop("_rank"))
-    return kept.unionByName(chosen)
+    key = lambda c: "" if c is None else f"={c}"
+    spark, rank_of = df.sparkSession, hash_rank(*_ids(row_id))
+    rows = df.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("")))
+    partial = {key(c): n for c, n in take.items() if 0 < n < counts[c]}
+    inside = {key(c): counts[c] for c in take}
+    targets = spark.createDataFrame([(c, n - 1, 0.0, float(16 ** 13), 0, inside[c]) for c, n in partial.items()],
+                                    "measure string, rank bigint, lo double, hi double, below bigint, inside bigint")
+    plan = [(key(c), None, n) for c, n in take.items() if n >= counts[c]]
+    if partial:
+        wanted = rows.join(targets.select(F.col("measure").alias("_key")), "_key", "left_semi")
+        edges = order_statistics(wanted.select(F.col("_key").alias("measure"), rank_of.alias("x")), targets, (), limit)
+        plan += [(r["measure"], r["value"], partial[r["measure"]]) for r in edges.collect()]
+    plan = spark.createDataFrame(plan, "_key string, _edge double, _take bigint")
+    found = rows.join(plan, "_key")
+    sure = found.filter(F.col("_edge").isNull() | (rank_of < F.col("_edge")))
+    below = found.filter(rank_of < F.col("_edge")).groupBy("_key").agg(F.count(F.lit(1)).alias("_below"))
+    ties = found.filter(rank_of == F.col("_edge")).join(below, "_key", "left")
+    in_order = Window.partitionBy("_key").orderBy(id_hash(*_ids(row_id)), *_ids(row_id))
+    ties = (ties.withColumn("_rank", F.row_number().over(in_order))
+            .filter(F.col("_rank") <= F.col("_take") - F.coalesce("_below", F.lit(0))))
+    return sure.select(*df.columns).unionByName(ties.select(*df.columns))
 
 
 def capped_sample(df: DataFrame, row_id: Sequence[str] | str, n: int, limit: int | None = None) -> DataFrame:

@@ -30,9 +30,6 @@ TURN = "NPGSD"
 SHEET = "VIYFWLT"
 EXTINCTION_W, EXTINCTION_Y, EXTINCTION_CYSTINE = 5500, 1490, 125
 
-MAX_PAIR_WEIGHTS = 10_000
-
-
 def normalize_sequence(df: DataFrame, column: str = "sequence") -> DataFrame:
     """Add ``clean_sequence``, ``orig_len`` (letters) and ``unknown_frac`` (share not standard)."""
     letters = S.letters_only(F.col(column)) if column in df.columns else F.lit(None).cast("string")
@@ -100,13 +97,16 @@ def weighted(parts: Mapping[str, Column], weights: Mapping[str, float]) -> Colum
 def bigram_score(df: DataFrame, row_id: str, weights: DataFrame, column: str = "sequence") -> DataFrame:
     """(row id, score): 10 / length times the sum of the weights of adjacent letter pairs.
 
-    ``weights`` holds (pair, weight) and is broadcast after a check of its size. Pairs are summed
+    ``weights`` holds (pair, weight). Only pairs of the 20 letters count, one weight each (two are an error), so the
+    broadcast has at most 400 rows. Pairs are summed
     inside the task that reads the row, so one partial sum per row is shuffled and no letters are.
     Pairs without a weight add nothing; short sequences score NULL.
     """
-    weights = weights.select("pair", "weight").filter(F.length("pair") == 2)
-    if weights.count() > MAX_PAIR_WEIGHTS:
-        raise ValueError(f"more than {MAX_PAIR_WEIGHTS} letter pairs: not a pair weight table")
+    weights = (weights.filter(F.col("pair").rlike(f"^[{''.join(S.LETTERS)}]{{2}}$")).groupBy("pair")
+               .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")))
+    if not weights.filter("n > 1").isEmpty():
+        raise ValueError("a letter pair has two weights")
+    weights = weights.drop("n")
     rows = normalize_sequence(df.select(row_id, column), column)
     clean = F.when(long_enough(), F.col("clean_sequence"))
     rows = rows.select(row_id, clean.alias("clean"), F.octet_length(clean).alias("length"))

@@ -17,7 +17,9 @@ from assayflow.operators.joins import join_groups
 from assayflow.operators.quantiles import exact_quantiles, quantile_values
 from assayflow.sources.tables import cut_lineage
 
-NARROW_COLUMNS = 12
+NARROW_COLUMNS = 6
+#: A column varies if its variance is more than this share of its mean square about a middle value.
+CONSTANT = 1e-13
 
 
 def group_quartiles(df: DataFrame, group: str, value: str, limit: int | None = None) -> DataFrame:
@@ -56,57 +58,43 @@ def group_median_mad(df: DataFrame, values: Sequence[str], by: Sequence[str] = (
 
 # --- correlation ---------------------------------------------------------------------------------
 
-def corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def corr_pairs(df: DataFrame, columns: Sequence[str], route: str | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows where both are known.
 
-    (x, y, r, n); r is NULL when either column is constant. A handful of columns is one aggregate;
-    more go through Gram matrices.
+    (x, y, r, n); r is NULL when either column is constant. A handful of columns is one aggregate ("aggregate");
+    more go through a Gram matrix ("gram"). ``route`` chooses one of them.
     """
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "x string, y string, r double, n bigint")
-    return _corr_aggregate(df, columns) if len(columns) <= NARROW_COLUMNS else _corr_gram(df, columns)
-
-
-def _scaled_columns(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[Column], list[int], int]:
-    """Columns centred and scaled by their own mean and deviation, so that sums of products keep their digits."""
-    rows = df.select(*[finite(F.col(c)).alias(f"x{i}") for i, c in enumerate(columns)])
-    stats = rows.agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in rows.columns
-                                                        for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop))]).first()
-    scaled = [(F.col(c) - F.lit(stats[f"m_{c}"] or 0.0)) / F.lit(stats[f"s_{c}"] or 1.0) for c in rows.columns]
-    return rows, scaled, [stats[f"n_{c}"] for c in rows.columns], stats["rows"]
+    narrow = len(columns) <= NARROW_COLUMNS if route is None else route == "aggregate"
+    return _corr_aggregate(df, columns) if narrow else _corr_gram(df, columns)
 
 
 def _corr_aggregate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A pair without missing values needs one more sum, any other pair six."""
-    rows, scaled, known, total = _scaled_columns(df, columns)
-    rows = rows.select(*[x.alias(f"x{i}") for i, x in enumerate(scaled)])
+    """Moments per pair, over the rows of the pair only; Spark merges them without losing digits."""
+    rows = df.select(*[finite(F.col(c)).alias(f"x{i}") for i, c in enumerate(columns)])
     pairs = list(combinations(range(len(columns)), 2))
     aggregates = []
     for p, (i, j) in enumerate(pairs):
         x, y = F.col(f"x{i}"), F.col(f"x{j}")
-        aggregates.append(F.sum(x * y).alias(f"xy{p}"))
-        if known[i] < total or known[j] < total:
-            xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-            aggregates += [F.count(xs).alias(f"n{p}"), F.sum(xs).alias(f"x{p}"), F.sum(ys).alias(f"y{p}"),
-                           F.sum(xs * xs).alias(f"xx{p}"), F.sum(ys * ys).alias(f"yy{p}")]
-    sums = rows.agg(*aggregates, *[F.sum(f"x{i}").alias(f"s{i}") for i in range(len(columns))],
-                    *[F.sum(F.col(f"x{i}") * F.col(f"x{i}")).alias(f"ss{i}") for i in range(len(columns))]).first()
+        xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        aggregates += [F.covar_pop(x, y).alias(f"c{p}"), F.stddev_pop(xs).alias(f"x{p}"), F.stddev_pop(ys).alias(f"y{p}"), F.count(xs).alias(f"n{p}")]
+    row = rows.agg(*aggregates).first()
     found = []
     for p, (i, j) in enumerate(pairs):
-        if known[i] < total or known[j] < total:
-            n, x, y, xx, yy = (sums[f"{k}{p}"] or 0 for k in ("n", "x", "y", "xx", "yy"))
-        else:
-            n, x, y, xx, yy = total, *(sums[k] or 0 for k in (f"s{i}", f"s{j}", f"ss{i}", f"ss{j}"))
-        found.append((columns[i], columns[j], _pearson(n, x, y, xx, yy, sums[f"xy{p}"] or 0), int(n)))
+        spread = (row[f"x{p}"] or 0.0) * (row[f"y{p}"] or 0.0)
+        found.append((columns[i], columns[j], row[f"c{p}"] / spread if spread else None, row[f"n{p}"]))
     return df.sparkSession.createDataFrame(found, "x string, y string, r double, n bigint")
 
 
 def _pearson(n: float, x: float, y: float, xx: float, yy: float, xy: float) -> float | None:
-    """Correlation from sums; None when either column does not vary."""
+    """Correlation from sums; None when either column varies by no more than rounding does."""
     if not n:
         return None
-    variances = (xx / n - (x / n) ** 2) * (yy / n - (y / n) ** 2)
-    return float((xy / n - x / n * y / n) / variances ** 0.5) if variances > 1e-24 else None
+    spread_x, spread_y = xx / n - (x / n) ** 2, yy / n - (y / n) ** 2
+    if spread_x <= CONSTANT * xx / n or spread_y <= CONSTANT * yy / n:
+        return None
+    return float((xy / n - x / n * y / n) / (spread_x * spread_y) ** 0.5)
 
 
 def _corr_gram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,11 +104,17 @@ def _corr_gram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     column list.
     """
     k = len(columns)
-    rows, scaled, _, _ = _scaled_columns(df, columns)
-    zero = F.lit(0.0)
-    parts = ([F.col(c).isNotNull().cast("double") for c in rows.columns]
-             + [F.coalesce(x, zero) for x in scaled] + [F.coalesce(x * x, zero) for x in scaled])
-    vectors = MLUtils.convertVectorColumnsFromML(rows.select(array_to_vector(F.array(*parts)).alias("v")), "v")
+    values = df.select(F.array(*[finite(F.col(c)) for c in columns]).alias("x"))
+    # Centred by the median and scaled by the quartiles: a far value moves neither, so it costs other rows no digits.
+    middle = values.select(F.posexplode("x").alias("i", "x")).groupBy("i").agg(F.percentile_approx("x", [0.25, 0.5, 0.75], 1000).alias("q")).collect()
+    quartiles = {r["i"]: r["q"] or [0.0, 0.0, 0.0] for r in middle}
+    centre = F.lit([float(quartiles[i][1]) for i in range(k)]) if quartiles else F.lit([0.0] * k)
+    scale = F.lit([float(quartiles[i][2] - quartiles[i][0]) or 1.0 for i in range(k)]) if quartiles else F.lit([1.0] * k)
+    scaled = F.zip_with(F.zip_with("x", centre, lambda x, m: x - m), scale, lambda x, s: x / s)
+    values = values.select(scaled.alias("x"))
+    parts = F.concat(F.transform("x", lambda x: x.isNotNull().cast("double")), F.transform("x", lambda x: F.coalesce(x, F.lit(0.0))),
+                     F.transform("x", lambda x: F.coalesce(x * x, F.lit(0.0))))
+    vectors = MLUtils.convertVectorColumnsFromML(values.select(array_to_vector(parts).alias("v")), "v")
     gram = RowMatrix(vectors).computeGramianMatrix().toArray()
     n, sx, sxx, xy = gram[:k, :k], gram[k:2 * k, :k], gram[2 * k:, :k], gram[k:2 * k, k:2 * k]
     found = [(columns[i], columns[j], _pearson(n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i], xy[i, j]), int(n[i, j]))

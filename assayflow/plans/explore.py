@@ -22,7 +22,8 @@ REGULAR_FLOOR, OTHER_FLOOR = 4000, 2000
 
 def diagnostics(df: DataFrame, row_id: Sequence[str], a: str = "kcat_value", b: str = "km_value",
                 fingerprint: str | None = "fp_bits", order: Sequence[str] = ("domain", "iso", "kinetics"),
-                isolation: bool = True, iso_columns: Sequence[str] | None = None) -> dict[str, DataFrame]:
+                isolation: bool = True, iso_columns: Sequence[str] | None = None,
+                sample_size: int = SAMPLE_SIZE, regular_floor: int = REGULAR_FLOOR, other_floor: int = OTHER_FLOOR) -> dict[str, DataFrame]:
     """Name to table: profile, missing shares, correlation, histograms, reasons, shares and a sample."""
     masked = independent_masks(df, a=a, b=b, row_id=row_id, isolation=isolation, iso_columns=iso_columns)
     flags = {k: F.col(k) for k in ("domain", "kinetics", "iso") if k in masked.columns}
@@ -38,7 +39,7 @@ def diagnostics(df: DataFrame, row_id: Sequence[str], a: str = "kcat_value", b:
         "fences_b": stats.fence_positions(masked, b),
         "reasons": reason_counts(masked, flags, ("domain", "kinetics", "iso")),
         "shares": stats.label_share(usable, "label"),
-        "scatter": stratified_sample(usable, row_id, "label", SAMPLE_SIZE, {"regular": REGULAR_FLOOR}, OTHER_FLOOR),
+        "scatter": stratified_sample(usable, row_id, "label", sample_size, {"regular": regular_floor}, other_floor),
     }
     if isolation:
         tables["iso_scores"] = stats.histogram(masked, F.col("iso_score"), 60)

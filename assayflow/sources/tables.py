@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -15,6 +14,9 @@ from pyspark.sql import types as T
 from assayflow.functions.numbers import nan_to_null
 
 
+SMALL_SCAN = 8
+
+
 def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Read Parquet with NaN turned into NULL, so that one notion of "missing" holds everywhere."""
     df = spark.read.parquet(path)
@@ -26,12 +28,12 @@ def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = N
 def spread_out(scan: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core, for work that is heavy per row.
 
-    A scan with fewer partitions than cores is small, or stored in few row groups, so moving its
-    rows costs little. A scan of many partitions comes back as it is. Meant for bare scans:
+    Only a scan of at most SMALL_SCAN partitions (1 GB at the default split size) is dealt out, whatever the number
+    of cores, so what moves has a bound; larger scans come back as they are. Meant for bare scans:
     filters and column lists still reach the reader through it.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < min(cores, SMALL_SCAN + 1) else scan
 
 
 def clean_nan(df: DataFrame) -> DataFrame:
@@ -85,13 +87,13 @@ class NamedTables:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a private one in local runs without it."""
+    """The folder the cluster names for checkpoints; in local runs without it, one below the warehouse."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="assayflow-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/assayflow-{context.applicationId}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

@@ -1,6 +1,8 @@
 """Scan, cleaning and projection queries. Integers that may be NULL leave as double, in SQL as well."""
 
 from pyspark.ml.functions import vector_to_array
+import uuid
+
 from pyspark.sql import functions as F
 
 from assayflow.functions.numbers import coerce_numeric, log10_positive, safe_ratio
@@ -34,14 +36,14 @@ def scan_projected(spark, sf_dir):
 
 @query("roundtrip_parquet", over("v_gaps", "select row_id, grp, case when isnan(a) then null else a end as a, b from v"))
 def roundtrip_parquet(spark, sf_dir):
-    path = f"{shared_folder(spark)}/roundtrip"
+    path = f"{shared_folder(spark)}/roundtrip/{uuid.uuid4().hex}"
     write_table(clean_nan(view(spark, sf_dir, "v_gaps")), path)
     return read_table(spark, path)
 
 
 @query("named_checkpoint", "select event_type, count(*) as n from events group by event_type")
 def named_checkpoint(spark, sf_dir):
-    tables = NamedTables(spark)
+    tables = NamedTables(spark, f"{shared_folder(spark)}/named/{uuid.uuid4().hex}")
     tables.save(table(spark, sf_dir, "events").select("event_id", "event_type"), "events_slim")
     return stats.count_by(tables.load("events_slim"), "event_type")
 
@@ -53,7 +55,7 @@ def feature_bundle(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(
         "event_id", F.round("value", 6).alias("x"), F.col("user_id").cast("double").alias("y"))
     rows = assemble(rows.withColumn("kcat_value", F.round(F.col("x") + 1, 6)), ["x", "y"])
-    path = f"{shared_folder(spark)}/bundle"
+    path = f"{shared_folder(spark)}/bundle/{uuid.uuid4().hex}"
     write_bundle(rows, path, "event_id", "features", ["kcat_value", "km_value"], {"features": ["x", "y"]})
     back, meta = read_bundle(spark, path)
     parts = vector_to_array("features")

@@ -29,6 +29,7 @@ def distinct_keys(spark, sf_dir):
 PER_CODE = "g as (select code, " + ", ".join(
     f"coalesce({f}(case when measure='{m}' and value>0 then log10(value) end),0.0) as {m}_{n}"
     for m in ("km", "kcat") for n, f in (("min", "min"), ("max", "max"), ("mean", "avg"))) + " from u group by code)"
+PER_CODE_NULL = PER_CODE.replace("coalesce(", "(").replace(",0.0)", ")")
 
 
 @query("log_min_max_mean", over("v_lookup", ", " + PER_CODE + " select code, " + ", ".join(
@@ -43,7 +44,8 @@ def _code_list_sql(absent):
     outer = ", ".join(f"round({filled(f'{m}_{n}')},6)+0.0 as {m}_{n}" for m in ("km", "kcat") for n in ("min", "max", "mean"))
     combined = ", ".join(f"{f}({filled(f'{m}_{n}')}) as {m}_{n}" for m in ("km", "kcat")
                          for n, f in (("min", "min"), ("max", "max"), ("mean", "avg")))
-    return over("v_lookup", f""", {PER_CODE}, v as ({text_of('v_dirty')}),
+    per_code = PER_CODE if absent == "zero" else PER_CODE_NULL
+    return over("v_lookup", f""", {per_code}, v as ({text_of('v_dirty')}),
 r as (select row_number() over () as rid, l_orderkey, l_linenumber, codes from v),
 x as (select rid, unnest(case when codes is null or trim(codes) in ('','None','nan','NaN','null') then []
   else list_filter(list_transform(string_split(codes, case when contains(codes,';') then ';' else ',' end), lambda x: trim(x)), lambda x: x<>'') end) as code from r),

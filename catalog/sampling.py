@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from assayflow.operators import sampling
 from catalog import query
-from catalog.views import table
+from catalog.views import over, table, view
 
 BUCKET = "(('0x'||substr(md5({id}),1,8))::bigint % {n})::int"
 EVENT = "event_id::varchar"
@@ -31,6 +31,16 @@ def stratified_sample(spark, sf_dir):
     return sampling.stratified_sample(df, "event_id", "event_type", 400, {"view": 150}, 60)
 
 
+@query("stratified_sample_null_labels", over("v_gaps", f"""
+, c as (select grp, count(*) as n, sum(count(*)) over () as total from v group by grp),
+t as (select grp, case when 400>=total then n else least(n, greatest(60, floor(n*(400.0/total))::bigint)) end as take from c),
+r as (select row_id, grp, row_number() over (partition by grp order by md5(row_id::varchar)) as rn from v)
+select row_id, r.grp from r join t on r.grp is not distinct from t.grp where rn <= take"""))
+def stratified_sample_null_labels(spark, sf_dir):
+    df = view(spark, sf_dir, "v_gaps").select("row_id", "grp")
+    return sampling.stratified_sample(df, "row_id", "grp", 400, {}, 60)
+
+
 @query("hash_split", f"select event_id, {BUCKET.format(id=EVENT, n=100)} < 20 as is_test from events")
 def hash_split(spark, sf_dir):
     return sampling.hash_split(table(spark, sf_dir, "events").select("event_id"), "event_id", 20)

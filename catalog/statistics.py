@@ -61,7 +61,7 @@ def corr_pairs(spark, sf_dir):
 
 @query("corr_pairs_gram", over("v_corr5", " union all ".join(_pair(x, y) for x, y in PAIRS5)))
 def corr_pairs_gram(spark, sf_dir):
-    return _round(stats._corr_gram(view(spark, sf_dir, "v_corr5"), CORR5), "r")
+    return _round(stats.corr_pairs(view(spark, sf_dir, "v_corr5"), CORR5, "gram"), "r")
 
 
 @query("corr_pairs_wide", """

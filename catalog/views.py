@@ -27,9 +27,9 @@ from {lineitem} join {part} on l_partkey=p_partkey""",
     "v_heavy": """
 select event_id as row_id, event_type as grp,
  round(power(10, case when event_type='purchase' and event_id%8=0 then 6.0
-                      when event_type='view' and event_id%12=0 then 3.7 else log10(value) end),6) as a,
+                      when event_type='view' and event_id%12=0 then 3.7 when value>0 then log10(value) end),6) as a,
  1.0 as b
-from {events} where value>0""",
+from {events}""",
     # Groups with a missing key, missing and useless measures.
     "v_gaps": """
 select event_id as row_id, case when user_id%5=0 then null else event_type end as grp,

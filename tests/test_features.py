@@ -121,3 +121,36 @@ def test_histogram_edges(spark):
     assert abs(np.cumsum(counts) - np.cumsum([r["n"] for r in rows])).max() <= 1
     one = stats.histogram(df.limit(1), F.lit(3.0), 4).collect()
     assert sum(r["n"] for r in one) == 1
+
+
+@pytest.mark.parametrize("route", ["aggregate", "gram"])
+@pytest.mark.parametrize("far", [1e9, 1e14])
+def test_a_far_value_costs_no_digits(spark, route, far):
+    """y is missing in the far row, so the correlation is that of the other rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=400)
+    y = 0.6 * x + 0.8 * rng.normal(size=400)
+    rows = [(float(a), float(b)) for a, b in zip(x, y)] + [(far, None)]
+    r = stats.corr_pairs(spark.createDataFrame(rows, "x double, y double"), ["x", "y"], route).first()
+    assert r["n"] == 400 and r["r"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-9)
+
+
+@pytest.mark.parametrize("route", ["aggregate", "gram"])
+def test_constant_columns_have_no_correlation(spark, route):
+    df = spark.createDataFrame([(1.0, 0.1), (2.0, 0.1), (3.0, 0.1)], "x double, y double")
+    assert stats.corr_pairs(df, ["x", "y"], route).first()["r"] is None
+
+
+def test_nan_and_infinity_inside_the_operators(spark):
+    from assayflow.operators.clean import winsorize
+    from assayflow.operators.outliers import default_rules
+    rows = [(float(i),) for i in range(1, 20)] + [(float("nan"),), (float("inf"),), (None,)]
+    df = spark.createDataFrame(rows, "x double").coalesce(1)
+    known = lambda out: [r["x"] for r in out.collect()]
+    assert known(winsorize(df, ["x"]))[19] is None
+    assert known(G.median_impute(df, ["x"]))[19] == known(G.median_impute(df, ["x"]))[21]
+    scaled = known(G.standardize(df, ["x"]))
+    assert scaled[19] is None and scaled[9] == pytest.approx(0.0)
+    flagged = df.select(F.col("x").alias("pH_value")).withColumns({c: F.lit(None).cast("double") for c in ("temperature_C", "kcat_value", "km_value", "unknown_frac")})
+    rules = default_rules()
+    assert [r["f"] for r in flagged.select(F.coalesce(rules["pH_value"], F.lit(False)).alias("f")).collect()][19] is False

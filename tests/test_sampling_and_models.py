@@ -108,7 +108,7 @@ def test_early_stopping_refits_with_fewer_trees(spark):
     _, _, df = _linear(spark)
     rows = M.model_rows(df, "kcat_value", "features", "id").cache()
     space = {"maxDepth": [2], "stepSize": [0.9]}
-    model = M.early_stopped_trees(M.train_part(rows), "id", space, draws=1, max_iter=15, tolerance=0.05)
+    model = M.early_stopped_trees(M.train_part(rows), "id", space, draws=1, max_iter=15, patience=3)
     assert 1 <= model.getNumTrees < 15
 
 
@@ -125,3 +125,38 @@ def test_best_model_and_comparison(spark):
     table = E.results_table(M.compare_models(df, ["kcat_value", "km_value"], "features", "id", fits))
     assert table.count() == 8
     assert [(r["target"], r["model"]) for r in E.best_model(table).collect()] == [("kcat_value", "Ridge")]
+
+
+def test_the_best_round_waits(spark):
+    assert M.best_round([5, 4, 3, 4, 5, 6], 3) == (3, True)
+    assert M.best_round([5, 4, 3, 4, 5], 3) == (3, False)
+    assert M.best_round([5, 4, 4.5, 4.2, 3.9, 5], 3) == (5, False)
+    assert M.best_round([3, 3, 3, 3], 2) == (1, True)
+
+
+@pytest.mark.parametrize("step", [0.05, 0.3])
+def test_early_stopping_takes_the_round_of_the_least_error(spark, step):
+    _, _, df = _linear(spark)
+    rows = M.train_part(M.model_rows(df, "kcat_value", "features", "id"))
+    model = M.early_stopped_trees(rows, "id", {"maxDepth": [2], "stepSize": [step]}, draws=1, max_iter=24, patience=4)
+    marked = rows.withColumn("check", M.hash_bucket(100, F.lit("tune"), F.col("id")) < 25)
+    longest = M.boosted_trees(maxIter=24, maxDepth=2, stepSize=step, lossType="squared").fit(marked.filter("not check"))
+    errors = longest.evaluateEachIteration(marked.filter("check"), "squared")
+    assert model.getNumTrees == M.best_round(errors, 4)[0]
+
+
+def test_rows_without_label_are_sampled_too(spark):
+    df = spark.range(1000).withColumn("g", F.when(F.col("id") % 4 > 0, F.concat(F.lit("g"), F.col("id") % 4)))
+    sample = K.stratified_sample(df, "id", "g", 400, {}, 10)
+    assert {r["g"]: r["count"] for r in sample.groupBy("g").count().collect()} == {None: 100, "g1": 100, "g2": 100, "g3": 100}
+    whole = K.stratified_sample(df.filter("id < 20 or g is not null"), "id", "g", 400, {}, 50)
+    assert whole.filter("g is null").count() == 5
+
+
+def test_ratio_target_and_no_target(spark):
+    _, _, df = _linear(spark)
+    df = df.withColumn("km_value", F.lit(2.0))
+    fits = {"Ridge": M.ridge}
+    found = M.compare_models(df, ["kcat_value", "kcat_km"], "features", "id", fits)
+    assert {r["target"] for r in found.select("target").distinct().collect()} == {"kcat_value", "kcat_km"}
+    assert M.compare_models(df, ["absent"], "features", "id", fits).count() == 0
