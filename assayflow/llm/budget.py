@@ -19,6 +19,8 @@ from assayflow.llm.common import cut_lineage
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Parts that a length is dealt into for ranking, so that no task ranks a whole length.
 PARTS = 1024
+#: Bits in the table of reachable sums.
+TABLE_BITS = 1 << 28
 
 
 def count_words(text: Column) -> Column:
@@ -39,19 +41,20 @@ def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE
 
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
-    """How many documents of each length add up to the largest reachable total of at most ``budget``.
+    """How many documents of each length add up to ``budget``, or to as little less as can be reached.
 
-    An even share of each length comes first, then one more of seeded lengths while it fits easily; the rest is
-    a bounded knapsack over the documents left, solved exactly by reachable sums kept as the bits of an integer.
-    Only so many documents enter the table as are needed to reach the budget, smallest differences last.
+    The core is a bounded knapsack, solved exactly by reachable sums kept as the bits of an integer. For a large source
+    its table would not fit: an even share of each length comes first there, then one more of seeded lengths while
+    the rest stays above ``reach``, and the knapsack fits the rest with the documents left. Documents enter
+    the table only until the budget is reached.
     """
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
-    taken = np.floor(counts * (budget / total)).astype(np.int64)
-    left = budget - int((lengths * taken).sum())
     order = np.random.default_rng(seed).permutation(len(lengths))
-    reach = 4 * int(lengths.max())
+    reach = max(4 * int(lengths.max()), TABLE_BITS // (len(lengths) + int(np.log2(counts).sum())))
+    taken = np.floor(counts * (budget / total)).astype(np.int64) if budget > reach else np.zeros_like(counts)
+    left = budget - int((lengths * taken).sum())
     for i in order:
         if left - lengths[i] >= reach and taken[i] < counts[i]:
             taken[i] += 1

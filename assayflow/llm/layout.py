@@ -30,6 +30,8 @@ CLOSES = {
     **{name: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}) for name in ("thead", "tbody", "tfoot")},
     "body": ({"head"}, {"html"}),
 }
+#: Parts of a table; outside of one they are not elements.
+PARTS = frozenset("tr td th thead tbody tfoot caption col colgroup".split())
 #: Block elements that end an open paragraph.
 ENDS_P = BLOCKS - {"html", "body", "tr", "td", "th", "thead", "tbody", "tfoot", "caption"}
 #: Elements that an end tag inside them does not reach past.
@@ -127,6 +129,8 @@ class Renderer:
         self.areas, self.tables, self.lists = [Area()], [], []
 
     def start(self, name: str, attributes: dict[str, str]) -> None:
+        if name in PARTS and not self.count.get("table"):
+            return
         if self.count.get("p") and name in ENDS_P:
             self.end("p")
         if name in CLOSES:
