@@ -124,7 +124,7 @@ def shards(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple]]:
     """The test items in blocks of bounded size, so that what one step broadcasts is bounded too."""
-    held, total = [], 0
+    held, total, first = [], 0, True
     rows = benchmark.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item_id}`").cast("string"), utf8(F.col(f"`{text}`")))
     for item, content in rows.toLocalIterator():
         if item is None:
@@ -133,8 +133,8 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterat
         total += len(content) + 64
         if total >= limit:
             yield held
-            held, total = [], 0
-    if held:
+            held, total, first = [], 0, False
+    if held or first:
         yield held
 
 
@@ -153,8 +153,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     Null texts have no words, items of null id or null text are left out, an empty table of items hits nothing, an empty
     table of documents gives an empty one. Columns named like the new ones are replaced.
     """
-    found = None
-    for items in [*_blocks(benchmark, item_id, item_text, block_bytes)] or [[]]:
+    first = True
+    found = docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
+    for items in _blocks(benchmark, item_id, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(TestBlock(items, window))
 
         def step(batches, shared=shared):
@@ -164,8 +165,8 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
                        [r[4][0] if r[4] else 0 for r in rows], [-r[4][1] if r[4] else None for r in rows],
                        [r[4][2] if r[4] else None for r in rows]]
 
-        if found is None:
-            found = append(docs, text, RESULT, step, None if keep is None else [*dict.fromkeys([*keep, text])])
+        if first:
+            found, first = append(found, text, RESULT, step), False
         else:
             before = found.select(F.struct(*[F.col(f"`{c}`") for c in found.columns]).alias("before"), F.col(f"`{text}`").alias("text"))
             found = _joined(append(before, "text", RESULT, step, ["before"]))

@@ -195,7 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     """Word vectors from all texts, then the network from at most ``sample`` labelled rows that are not held out.
 
     The sample is the labelled documents of the smallest id hashes, so it does not depend on partitioning.
-    Labels other than 0 and 1 and null ids are left out; of several labels of an id the largest counts. With no
+    Labels other than 0 and 1 and null ids are left out; of several labels of an id the largest counts, of several texts of an
+    id the one of the least hash. With no
     label, or an empty table, every score is one half or what the one class found says.
     """
     vectors, seen = word_vectors(docs, text)
@@ -204,15 +205,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     names = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
     names = names.where("id is not null and label in (0, 1)").where(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    chosen = names.join(texts.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = texts.join(cut_lineage(chosen), "id")
+    chosen = names.join(texts.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = texts.join(F.broadcast(cut_lineage(chosen)), "id")  # at most ``sample`` rows
     shared = docs.sparkSession.sparkContext.broadcast((vectors, weights))
 
     def step(batches):
         for batch in batches:
             yield [pooled(batch, *shared.value).tolist()]
 
-    found = append(rows, "text", "x array<double>", step, ["id", "label"]).collect()
+    rows = rows.select("id", "label", "text", F.xxhash64("text").alias("part"))
+    each = append(rows, "text", "x array<double>", step, ["id", "label", "part"])
+    found = each.groupBy("id", "label").agg(F.min_by("x", "part").alias("x")).collect()
     found.sort(key=lambda r: (r["id"], r["x"]))
     x = np.array([r["x"] for r in found]).reshape(len(found), 2 * WIDTH + 2)
     y = np.array([r["label"] for r in found], float)
