@@ -1,12 +1,14 @@
 """Feature reduction queries."""
 
+import uuid
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from assayflow.functions.notation import folded_bits
 from assayflow.operators import features
 from assayflow.operators.notations import add_notation_features
-from assayflow.sources.tables import cut_lineage
+from assayflow.sources.tables import cut_lineage, shared_folder
 from catalog import query
 from catalog.statistics import BITS, CORR5, PAIRS5, _pair
 from catalog.views import over, table, view
@@ -45,6 +47,19 @@ def standardize(spark, sf_dir):
     return df.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("x0", "x4")})
 
 
+@query("fitted_state", over("v_corr5", """
+, s as (select avg(x0) as a0, stddev_pop(x0) as s0, avg(x2) as a2, stddev_pop(x2) as s2, avg(x3) as a3, stddev_pop(x3) as s3 from v)
+select round((x0-a0)/s0,5)+0.0 as z0, round((x2-a2)/s2,5)+0.0 as z2, round((x3-a3)/s3,5)+0.0 as z3 from v, s"""))
+def fitted_state(spark, sf_dir):
+    """What was fitted is saved, loaded and applied."""
+    df = view(spark, sf_dir, "v_corr5").select("x0", "x2", "x3")
+    path = f"{shared_folder(spark)}/state/{uuid.uuid4().hex}"
+    features.fit_features(df, ["x0", "x2", "x3"]).save(spark, path)
+    parts = vector_to_array("features")
+    done = features.FeatureModel.load(spark, path).transform(df)
+    return done.select(*[(F.round(parts[i], 5) + F.lit(0.0)).alias(c) for i, c in enumerate(("z0", "z2", "z3"))])
+
+
 def _vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))

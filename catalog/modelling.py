@@ -1,10 +1,10 @@
 """Model and evaluation queries. Models use few trees here; their defaults are the published settings."""
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from assayflow.operators import evaluation, models
+from assayflow.sources.tables import cut_lineage
 from catalog import query
 from catalog.views import over, table, view
 
@@ -87,7 +87,7 @@ COLUMNS = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
 def _rows(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem", spread=True).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     df = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(df)
-    return models.model_rows(df, "l_extendedprice", "features", ID).persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(models.model_rows(df, "l_extendedprice", "features", ID))
 
 
 def _small_trees(**params):
