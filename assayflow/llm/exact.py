@@ -14,10 +14,13 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayflow.llm.common import sift
 from assayflow.sources.tables import cut_lineage, shared_folder
 
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: no disk is set aside ahead of what is written.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -78,7 +81,9 @@ def exact_duplicates(spark: SparkSession, path: str, text: str = "text", doc_id:
     content = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), content.alias("content"), digest(F.col(f"`{text}`")).alias("digest"))
     alone = rows.select("id", "digest").join(state.where("group_size = 1"), "digest").select("id", "digest", "keep_id", "group_size")
-    hits = rows.join(state.where("group_size > 1").drop("file"), "digest")
+    held = state.where("group_size > 1").drop("file")
+    may_hit = sift(rows.withColumn("key", F.xxhash64("digest")), "key", held.select(F.xxhash64("digest").alias("key")))
+    hits = may_hit.drop("key").join(held, "digest")
     stored = (hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy(F.col("digest").alias("stored_digest"))
               .agg(F.min("content").alias("stored")))
     same = F.col("content") == F.col("stored")
