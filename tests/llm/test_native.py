@@ -168,3 +168,36 @@ def test_long_dialogues_come_in_blocks(spark, turns):
     assert sum(r["n_turns"] for r in found) == turns and all(r["n_turns"] <= rotation.BLOCK for r in found)
     said = [r["text"][m["start"]:m["end"]].removesuffix("<|end|>") for r in found for m in r["mask"]]
     assert said == [str(i) for i in range(0, turns, 2)]
+
+
+def _all_shingles(line):
+    return {line[i:i + 5] for i in range(max(len(line) - 4, 1))}
+
+
+def _components_by_hand(texts):
+    """The first of each component, by comparing all pairs of lines."""
+    sets, head = [_all_shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if head[i] != head[j] and _similar(sets[i], sets[j]):
+                old, new = max(head[i], head[j]), min(head[i], head[j])
+                head = [new if h == old else h for h in head]
+    return head
+
+
+def _dropped(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["doc_id"] for r in lines.line_report(df).collect() if r["dropped"]}
+
+
+def test_shingles_start_at_every_character(spark):
+    texts = ["abcd", "a", "abcdefg", "日本語のテキスト", "x😀yz😀w"]
+    found = spark.createDataFrame(enumerate(texts), "i bigint, line string").select("i", F.size(lines.shingles(F.col("line"))).alias("n")).collect()
+    assert {r["i"]: r["n"] for r in found} == {i: len(_all_shingles(t)) for i, t in enumerate(texts)}
+
+
+def test_one_changed_character_still_links(spark):
+    words = "several measured values were taken from the second table again twice"
+    blankless = "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(120))
+    texts = [words, words.replace("second", "sebond"), blankless, blankless[:3] + "新" + blankless[3:], blankless + sentence(8, 12)]
+    assert _dropped(spark, texts) == {i for i, h in enumerate(_components_by_hand(texts)) if h != i} == {1, 3}
