@@ -201,3 +201,13 @@ def test_one_changed_character_still_links(spark):
     blankless = "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(120))
     texts = [words, words.replace("second", "sebond"), blankless, blankless[:3] + "新" + blankless[3:], blankless + sentence(8, 12)]
     assert _dropped(spark, texts) == {i for i, h in enumerate(_components_by_hand(texts)) if h != i} == {1, 3}
+
+
+def test_clusters_beside_the_leaders_are_linked(spark, monkeypatch):
+    """All lines in one bucket: clusters without a leader, and chains that hang together through their middle members."""
+    monkeypatch.setattr(lines, "bands", lambda given: given.select("h").distinct().withColumn("bands", F.array(F.lit(1).cast("long"))))
+    texts = [sentence(c, 20) + f" {v}" for c in range(12) for v in range(4)]
+    chain = sentence(77, 40)
+    texts += [chain[k * 8:k * 8 + 150] for k in range(12)]
+    want = {i for i, h in enumerate(_components_by_hand(texts)) if h != i}
+    assert _dropped(spark, texts) == want and len(want) == 12 * 3 + 11
