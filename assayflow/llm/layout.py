@@ -17,8 +17,13 @@ from assayflow.llm.common import append
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-#: Elements that are never shown.
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video canvas svg math select".split())
+#: Elements that are never shown; of svg, see DRAWN.
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video canvas svg select".split())
+#: Elements that an open head can hold; any other start tag, and text, ends it.
+IN_HEAD = frozenset("title meta link base basefont bgsound style script noscript noframes template html head".split())
+#: Elements whose text is shown inside svg, and those that are not shown inside svg or math.
+DRAWN = frozenset("text foreignobject".split())
+UNDRAWN = frozenset("defs symbol desc metadata clippath mask pattern marker annotation annotation-xml".split())
 #: Elements set apart by a blank line, and those that only begin a new line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset".split())
 BLOCKS = SPACED | frozenset("""html body div section article aside header footer nav main address form li dt dd hr figcaption details summary
@@ -123,12 +128,16 @@ class Renderer:
     """The open elements and what they put on the page."""
 
     def __init__(self):
-        self.open: list[tuple[str, bool]] = []  # name, hidden
+        self.open: list[tuple[str, int]] = []  # name, hidden (-1: shown inside svg)
         self.count: dict[str, int] = {}
         self.hidden = 0
         self.areas, self.tables, self.lists = [Area()], [], []
 
     def start(self, name: str, attributes: dict[str, str]) -> None:
+        if name == "head" and self.in_head():
+            return
+        if name not in IN_HEAD and self.in_head():
+            self.pop()
         if name in PARTS and not self.count.get("table"):
             return
         if self.count.get("p") and name in ENDS_P:
@@ -148,13 +157,18 @@ class Renderer:
                 self.areas[-1].block(True)
             return
         hides = (name in UNSEEN or "hidden" in attributes and attributes["hidden"].lower() != "until-found"
-                 or bool(HIDING.search(attributes.get("style", ""))) or name == "dialog" and "open" not in attributes)
+                 or bool(HIDING.search(attributes.get("style", ""))) or name == "dialog" and "open" not in attributes
+                 or name in UNDRAWN and self.foreign())
+        if name in DRAWN and not hides and self.count.get("svg") and self.hidden == 1:  # nothing but svg hides it
+            hides = -1
         self.open.append((name, hides))
         self.count[name] = self.count.get(name, 0) + 1
         self.hidden += hides
         if self.hidden:
             return
         area = self.areas[-1]
+        if hides:
+            area.block(False)
         if name == "table":
             area.block(True)
             self.tables.append(Table())
@@ -205,6 +219,8 @@ class Renderer:
         self.hidden -= hides
         if not shown:
             return
+        if hides:
+            self.areas[-1].block(False)
         if name in ("td", "th") and self.tables and len(self.areas) > 1:
             lines = self.areas.pop().done()
             row = self.tables[-1].rows[-1]
@@ -221,10 +237,18 @@ class Renderer:
             self.areas[-1].block(name in SPACED and not (self.lists and name in ("ul", "ol")))
             self.areas[-1].prefix = ""
 
+    def in_head(self) -> bool:
+        return bool(self.open) and self.open[-1][0] == "head"
+
+    def foreign(self) -> bool:
+        return bool(self.count.get("svg") or self.count.get("math"))
+
     def indent(self) -> str:
         return "  " * len(self.lists) + "  " * self.count.get("blockquote", 0)
 
     def text(self, text: str) -> None:
+        if self.in_head() and BLANKS.sub("", text):
+            self.pop()
         if not self.hidden and text:
             inside_row = self.open and self.open[-1][0] in ("table", "tr", "thead", "tbody", "tfoot")
             if inside_row and not text.strip():
@@ -238,7 +262,7 @@ class Renderer:
 
 
 def render(page: str) -> str:
-    """All visible text of a page."""
+    """All visible text of a page. Options of a select, which is a control, do not count as text."""
     out, at, end = Renderer(), 0, len(page)
     while at < end:
         mark = page.find("<", at)
@@ -273,6 +297,10 @@ def render(page: str) -> str:
             continue
         attributes = {a[1].lower(): html.unescape(a[2] or a[3] or a[4] or "") for a in ATTRIBUTE.finditer(tag[3])} if tag[3] else {}
         out.start(name, attributes)
+        if tag[3].endswith("/") and out.foreign():
+            if out.open[-1][0] == name:
+                out.pop()
+            continue
         if name in RAW and not (name in VOID):
             close = re.compile(f"</{re.escape(name)}[\\s/>]", re.I).search(page, at)
             stop = close.start() if close else end

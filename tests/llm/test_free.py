@@ -171,6 +171,17 @@ def test_rendering(page, text):
     assert layout.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><p>text<p>more", "text\n\nmore"), ("<head><meta charset=utf-8>\n text", "text"), ("<head><title>t</title><link rel=x><div>a</div></head>b", "a\nb"),
+    ("<head><head><title>t</title></head>b", "b"), ("<head><noscript><img alt=no></noscript><template><p>no</template><style>no</style><h1>a", "a"), ("a<head>b", "ab"),
+    ("<head><br>a", "a"), ("<head><base href=x><img alt=pic>", "pic"),
+    ("a<svg><title>no</title><desc>no</desc>no<text>x <tspan>y</tspan></text><g/><defs><text>no</text></defs><text>z</text></svg>b", "a\nx y\nz\nb"),
+    ("a<svg/>b", "ab"), ("<svg><defs/><text>x</text></svg>", "x"), ("<div hidden><svg><text>no</text></svg></div>a", "a"),
+    ("<svg><style/><text>x</text></svg>y", "x\ny"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "x=2")])
+def test_implied_heads_and_drawn_text(page, text):
+    assert layout.render(page) == text
+
+
 def test_deep_and_long_pages():
     assert layout.render("<div>" * 20000 + "x" + "</div>" * 20000) == "x"
     assert layout.render("<b>" * 5000 + "x<p>y" * 5000).count("y") == 5000
