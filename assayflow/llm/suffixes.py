@@ -88,7 +88,7 @@ def _keep(batches):
 def _surround(batches):
     """For the marked places of a text, the words before and after the run."""
     for batch in batches:
-        owner, out = [], {"run": [], "place": [], "first": [], "before": [], "after": [], "n_before": [], "n_after": []}
+        owner, out = [], {"run": [], "place": [], "before": [], "after": [], "n_before": [], "n_after": []}
         for i, (text, marks) in enumerate(zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True)):
             words = np.maximum((word_hashes(text) >> np.uint64(32)).astype(np.uint32), 1)
             padded = np.concatenate([np.zeros(REACH, np.uint32), words, np.zeros(REACH, np.uint32)]).astype(">u4")
@@ -97,14 +97,13 @@ def _surround(batches):
                 owner.append(i)
                 out["run"].append(mark["run"])
                 out["place"].append(at)
-                out["first"].append(mark["first"])
                 out["before"].append(padded[at:at + REACH][::-1].tobytes())
                 out["after"].append(padded[at + REACH + GRAM:at + GRAM + 2 * REACH].tobytes())
                 out["n_before"].append(min(at, REACH))
                 out["n_after"].append(min(len(words) - at - GRAM, REACH))
         if owner:
             made = _rows(batch, owner, ["id", "part"], {})
-            kinds = {"run": pa.int64(), "place": pa.int32(), "first": pa.bool_(), "before": pa.binary(), "after": pa.binary(), "n_before": pa.int32(), "n_after": pa.int32()}
+            kinds = {"run": pa.int64(), "place": pa.int32(), "before": pa.binary(), "after": pa.binary(), "n_before": pa.int32(), "n_after": pa.int32()}
             yield pa.RecordBatch.from_arrays([*made.columns, *[pa.array(v, kinds[k]) for k, v in out.items()]], names=["id", "part", *out])
 
 
@@ -114,18 +113,19 @@ def _compare(side: str):
     The first and the last row of a partition come back once more, whole, to be compared across partitions.
     """
     def run(batches):
-        held, start = None, True
+        held, start, seen = None, True, 0
         number = TaskContext.get().partitionId()
         for batch in batches:
             if not len(batch):
                 continue
+            seen += len(batch)
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
             new = matches(rows)
             edge = np.zeros(len(rows), bool)
             edge[0] = start
             start, held = False, batch.iloc[-1:]
             yield emit(rows, new, edge)
-        if held is not None:
+        if seen > 1:  # a row that is alone has come as the first one
             yield emit(held, np.zeros(1, np.int64), np.ones(1, bool), last=True)
 
     def matches(rows):
@@ -139,7 +139,7 @@ def _compare(side: str):
 
     def emit(rows, ext, edge, last=False):
         number = TaskContext.get().partitionId()
-        out = pd.DataFrame({"id": rows["id"], "part": rows["part"], "place": rows["place"], "first": rows["first"],
+        out = pd.DataFrame({"id": rows["id"], "part": rows["part"], "place": rows["place"],
                             "ext": ext, "edge": np.where(edge, 2 * number + last, -1), "run": rows["run"], "n": rows["n"]})
         out["context"] = np.where(edge, rows["context"], None)
         return out
@@ -148,16 +148,36 @@ def _compare(side: str):
 
 
 def _extents(suffixes: DataFrame, side: str, parts: int) -> DataFrame:
-    """(id, part, place, first, ext): how far each kept run matches another occurrence on one side."""
+    """(id, part, place, ext): how far each kept run matches another occurrence on one side."""
     kind = suffixes.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, part long, place int, first boolean, ext long, edge long, run long, n int, context binary"
-    rows = suffixes.select("id", "part", "place", "first", "run", F.col(f"n_{side}").alias("n"), F.col(side).alias("context"))
+    schema = f"id {kind}, part long, place int, ext long, edge long, run long, n int, context binary"
+    rows = suffixes.select("id", "part", "place", "run", F.col(f"n_{side}").alias("n"), F.col(side).alias("context"))
     order = ["run", "context", "id", "part", "place"]
     done = cut_lineage(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(_compare(side), schema))
     # Two rows per partition, in order, close the gaps between partitions.
     edges = done.where("edge >= 0").drop("ext").coalesce(1).sortWithinPartitions("edge", *order).drop("edge")
     across = edges.mapInPandas(_compare(side), schema)
-    return done.union(across).select("id", "part", "place", "first", "ext")
+    return done.union(across).select("id", "part", "place", "ext")
+
+
+def _earlier(suffixes: DataFrame, side: str) -> DataFrame:
+    """(around, least): for each run with its words on one side, the smallest id that shares the run and the first 0, 1, ... REACH of them."""
+    seen = suffixes.groupBy("run", side).agg(F.min("id").alias("least")).withColumn("around", F.xxhash64("run", side))
+    each = seen.select("run", side, "around", "least", F.explode(F.sequence(F.lit(0), F.lit(REACH))).alias("n"))
+    each = each.select("around", "n", "least", F.expr(f"xxhash64(run, n, substring({side}, 1, 4 * n))").alias("head"))
+    least = each.groupBy("head").agg(F.min("least").alias("least"))
+    found = each.drop("least").join(least, "head").groupBy("around").agg(F.array_sort(F.collect_list(F.struct("n", "least"))).alias("least"))
+    return cut_lineage(found.select("around", F.transform("least", lambda x: x["least"]).alias("least")))
+
+
+def _later(suffixes: DataFrame) -> DataFrame:
+    """(id, part, place, later_before, later_after): how far each kept run matches texts of smaller ids; -1 if none has it."""
+    rows = suffixes.select("id", "part", "place", "n_before", "n_after", *[F.xxhash64("run", side).alias(f"at_{side}") for side in ("before", "after")])
+    for side in ("before", "after"):
+        found = _earlier(suffixes, side).select(F.col("around").alias(f"at_{side}"), F.col("least").alias(f"least_{side}"))
+        smaller = F.filter(f"least_{side}", lambda x: x.isNotNull() & (F.col("id").isNull() | (x < F.col("id"))))
+        rows = rows.join(found, f"at_{side}").withColumn(f"later_{side}", F.least(F.size(smaller) - 1, F.col(f"n_{side}")).cast("long")).drop(f"least_{side}")
+    return rows.select("id", "part", "place", "later_before", "later_after")
 
 
 def _spans(batches):
@@ -167,12 +187,9 @@ def _spans(batches):
         for found in batch.column("found").to_pylist():
             spans, later = [], []
             for row in found:
-                left, right = row["before"], row["after"]
-                if left is not None and right is not None and min(left, right) >= 0 and left + GRAM + right >= LEAST:
-                    span = (row["place"] - left, row["place"] + GRAM + right)
-                    spans.append(span)
-                    if not row["first"]:
-                        later.append(span)
+                for to, left, right in ((spans, row["before"], row["after"]), (later, row["later_before"], row["later_after"])):
+                    if left is not None and right is not None and min(left, right) >= 0 and left + GRAM + right >= LEAST:
+                        to.append((row["place"] - left, row["place"] + GRAM + right))
             for kept, starts, ends in ((spans, all_starts, all_ends), (later, later_starts, later_ends)):
                 joined = join_spans(kept)
                 starts.append([a for a, _ in joined])
@@ -196,7 +213,8 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     """Texts with repeated passages: (id, part, starts, ends, later_starts, later_ends), in words.
 
     ``part`` is the hash of the text, so that ids may repeat. ``starts`` and ``ends`` delimit the words of passages
-    that occur more than once, ``later_*`` those that also occur in a document of a smaller id and may go. No
+    that occur more than once, ``later_*`` those that also occur in a document of a smaller id and may go, as far as
+    such documents hold their words. No
     passage of LEAST words is missed. A stretch may be joined from two occurrences that overlap in a run of GRAM
     words. Null, empty and short texts hold none; repeated rows count as occurrences of each other;
     an empty table gives an empty one; other columns are not read.
@@ -204,18 +222,19 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     given = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("part"), utf8(F.col(f"`{text}`")).alias("text"))
     kind = given.schema["id"].dataType.simpleString()
     kept = cut_lineage(given.mapInArrow(_keep, f"id {kind}, part long, place int, run long"))
-    twice = cut_lineage(kept.groupBy("run").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1").drop("n"))
-    marks = sift(kept, "run", twice).join(twice, "run").select("id", "part", F.struct("place", "run", F.col("id").eqNullSafe(F.col("least")).alias("first")).alias("mark"))
+    twice = cut_lineage(kept.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    marks = sift(kept, "run", twice).join(twice, "run").select("id", "part", F.struct("place", "run").alias("mark"))
     marked = cut_lineage(marks.groupBy("id", "part").agg(F.collect_set("mark").alias("marks")))
     texts = sift(given, "part", marked).alias("t").join(marked.alias("m"), F.expr("t.id <=> m.id and t.part = m.part"))
     around = texts.select("t.id", "t.part", "t.text", "m.marks").mapInArrow(
-        _surround, f"id {kind}, part long, run long, place int, first boolean, before binary, after binary, n_before int, n_after int")
+        _surround, f"id {kind}, part long, run long, place int, before binary, after binary, n_before int, n_after int")
     suffixes = cut_lineage(around)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sides = [_extents(suffixes, side, parts).withColumnsRenamed({"ext": side}) for side in ("before", "after")]
-    both = sides[0].withColumn("after", F.lit(None).cast("long")).unionByName(sides[1].withColumn("before", F.lit(None).cast("long")))
-    best = both.groupBy("id", "part", "place").agg(F.max("before").alias("before"), F.max("after").alias("after"), F.max("first").alias("first"))
-    grouped = best.groupBy("id", "part").agg(F.collect_list(F.struct("place", "before", "after", "first")).alias("found"))
+    names = ["before", "after", "later_before", "later_after"]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True).unionByName(_later(suffixes), allowMissingColumns=True)
+    best = both.groupBy("id", "part", "place").agg(*[F.max(c).alias(c) for c in names])
+    grouped = best.groupBy("id", "part").agg(F.collect_list(F.struct("place", *names)).alias("found"))
     spans = grouped.mapInArrow(_spans, f"id {kind}, part long, starts array<long>, ends array<long>, later_starts array<long>, later_ends array<long>")
     return cut_lineage(spans.where(F.size("starts") > 0))
 

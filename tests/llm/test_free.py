@@ -67,6 +67,23 @@ def test_shared_passage_is_found_and_cut(spark):
     assert cut[0] == rows[0][1] and cut[99] == rows[-1][1] and cut[3] == f"{sentence(13, 33)}\n {sentence(63, 25)}"
 
 
+def test_a_part_of_a_passage_in_an_earlier_document_cuts_nothing(spark):
+    rows = []
+    for k in range(12):  # the first holds 40 words of the 80 that the others share, the last one 60 of them
+        words = sentence(200 + k, 80).split()
+        rows += [(4 * k, " ".join([sentence(300 + k, 30), *words[:40]])), (4 * k + 1, " ".join([sentence(400 + k, 30), *words])),
+                 (4 * k + 2, " ".join([sentence(500 + k, 20), *words])), (4 * k + 3, " ".join([*words[:60], sentence(600 + k, 20)]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["n_later"] for r in suffixes.passage_report(df).collect()}
+    assert found == {i: (0, 0, 80, 60)[i % 4] for i in range(48)}
+
+
+def test_a_row_alone_in_a_partition_is_not_its_own_neighbour(spark):
+    schema = "id bigint, part bigint, place int, run bigint, n_after int, after binary"
+    df = spark.createDataFrame([(1, 1, 0, 5, 16, b"\1" * 64)], schema)
+    assert [r["ext"] for r in suffixes._extents(df, "after", 4).collect() if r["ext"] >= 0] == []
+
+
 def test_passages_of_odd_documents(odd_docs, no_docs):
     found = suffixes.passage_report(odd_docs).collect()
     assert len(found) == odd_docs.count()
