@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from assayflow.functions.numbers import nan_to_null
 from assayflow.operators.joins import join_groups
-from assayflow.sources.tables import cut_lineage
+from assayflow.sources.tables import cut_lineage, scope
 
 # Values that one aggregation state may hold: for a whole table there is one state, for groups a task
 # holds up to spark.sql.objectHashAggregate.sortBased.fallbackThreshold (128) of them at a time.
@@ -58,6 +58,14 @@ def _in_one_task(df, values, probs, by, counts) -> DataFrame:
 
 def _narrowed(df, sizes, values, probs, by, limit) -> DataFrame:
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with scope() as held:
+            return held.keep(cut_lineage(_quantiles_by_ranks(df, sizes, values, probs, by, limit)))
+    finally:
+        df.unpersist()
+
+
+def _quantiles_by_ranks(df, sizes, values, probs, by, limit) -> DataFrame:
     rows = long_form(df, values, by)
     keys = [*by, "measure"]
     position = lambda p: F.lit(p) * (F.col("n") - 1)
@@ -74,13 +82,9 @@ def _narrowed(df, sizes, values, probs, by, limit) -> DataFrame:
     wide = per_measure.groupBy(*by).agg(
         *[F.max(F.when(F.col("measure") == v, F.col("q"))).alias(f"q_{v}") for v in values])
     if by:
-        result = join_groups(sizes, wide, by, "left")
-    else:
-        one = wide.first()
-        result = sizes.withColumns({f"q_{v}": F.lit(one[f"q_{v}"]) for v in values})
-    result = cut_lineage(result)
-    df.unpersist()
-    return result
+        return join_groups(sizes, wide, by, "left")
+    one = wide.first()
+    return sizes.withColumns({f"q_{v}": F.lit(one[f"q_{v}"]) for v in values})
 
 
 def _interpolate(at: Column, position: Column) -> Column:
@@ -100,7 +104,8 @@ def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = ()
     """The values at 0-based ranks: (group, measure, rank, value).
 
     ``rows`` holds (group, measure, x). ``targets`` holds (group, measure, rank) with a bracket
-    ``lo``..``hi`` known to contain the rank, ``below`` rows before it and ``inside`` rows in it.
+    ``lo``..``hi`` known to contain the rank, ``below`` rows before it and ``inside`` rows in it. Each pass
+    replaces the table of brackets, so two of them exist at most.
     """
     limit = min(limit or VALUES_OF_GROUP, VALUES_OF_GROUP)
     keys = [*by, "measure"]
@@ -119,7 +124,7 @@ def order_statistics(rows: DataFrame, targets: DataFrame, by: Sequence[str] = ()
         narrowed = (join_groups(wide.select(*keys, "rank", "below"), bins, [*keys, "below"])
                     .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("inside")))
                     .select(*keys, "rank", "lo", "hi", F.col("start").alias("below"), "inside"))
-        targets = cut_lineage(targets.filter(settled).select(*bracket).unionByName(narrowed))
+        targets = cut_lineage(targets.filter(settled).select(*bracket).unionByName(narrowed), last=[targets])
 
     single = targets.filter(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("value"))
     gathered = (_rows_in_bracket(rows, targets.filter(F.col("lo") < F.col("hi")), keys)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+import weakref
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -99,12 +102,88 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+#: Folder of every table that ``cut_lineage`` wrote, as long as the table is in use.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_SCOPES: ContextVar[tuple["Scope", ...]] = ContextVar("scopes", default=())
+# A written table is never computed again, so the shuffle files behind it can go at once.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was set before comes back."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+class Scope:
+    """The intermediate tables that one job owns."""
+
+    def __init__(self):
+        self.folders: dict[str, SparkSession] = {}
+
+    def keep(self, *tables: DataFrame) -> DataFrame:
+        """Hand tables on to the scope around this one; without one they stay. Returns the first."""
+        outer = _SCOPES.get()[:-1]
+        for table in tables:
+            folder = _FOLDERS[table]
+            spark = self.folders.pop(folder, None)
+            if outer and spark is not None:
+                outer[-1].folders[folder] = spark
+        return tables[0]
+
+
+@contextmanager
+def scope() -> Iterator[Scope]:
+    """A block that owns the tables ``cut_lineage`` writes in it: at its end, also by an error, they are deleted.
+
+    What the block returns must read only tables that were handed on with ``keep``.
+    """
+    held = Scope()
+    token = _SCOPES.set((*_SCOPES.get(), held))
+    try:
+        yield held
+    finally:
+        _SCOPES.reset(token)
+        for folder, spark in held.folders.items():
+            _delete(spark, folder)
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete written tables that have had their last reader; other DataFrames are left alone."""
+    for table in tables:
+        folder = _FOLDERS.pop(table, None)
+        if folder is not None:
+            for held in _SCOPES.get():
+                held.folders.pop(folder, None)
+            _delete(table.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def cut_lineage(df: DataFrame, last: Iterable[DataFrame] = ()) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the written table.
 
-    Unlike a checkpointed plan, a written table has a known size, which decides later join strategies.
+    Unlike a checkpointed plan, a written table has a known size, which decides later join strategies. ``last`` names
+    written tables whose last reader this is; they are deleted afterwards. Within a ``scope`` the table belongs
+    to it from before the first file is written.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    if _SCOPES.get():
+        _SCOPES.get()[-1].folders[folder] = spark
+    with settings(spark, _WRITING):
+        df.write.parquet(folder)
+    free(*last)
+    table = spark.read.schema(df.schema).parquet(folder)
+    _FOLDERS[table] = folder
+    return table

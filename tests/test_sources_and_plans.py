@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,9 @@ from assayflow.operators.sequences import add_sequence_features
 from assayflow.plans.explore import diagnostics, drop_report
 from assayflow.plans.preprocess import preprocess
 from assayflow.plans.train import train
-from assayflow.sources.tables import NamedTables, cut_lineage, read_bundle, read_table, spread_out, write_bundle, write_table
+from assayflow.operators.quantiles import exact_quantiles
+from assayflow.sources.tables import (NamedTables, cut_lineage, free, read_bundle, read_table, scope, spread_out, write_bundle,
+                                      write_table)
 
 
 def test_nan_becomes_null(spark, tmp_path):
@@ -93,3 +97,48 @@ def test_projections_also_run_on_streams(spark, sf_dir, tmp_path):
         "checkpointLocation", str(tmp_path / "ck")).start()
     run.awaitTermination(120)
     assert spark.table("derived").filter("pH_value = 7").count() == source.count()
+
+
+def _written(spark):
+    """Names of the intermediate tables that exist."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file:")
+    return set(os.listdir(f"{folder}/tables")) if os.path.isdir(f"{folder}/tables") else set()
+
+
+def test_a_scope_deletes_what_it_does_not_keep(spark):
+    before = _written(spark)
+    with scope() as outer:
+        with scope() as inner:
+            first = cut_lineage(spark.range(3))
+            second = cut_lineage(first.where("id > 0"), last=[first])
+            assert len(_written(spark) - before) == 1
+            third = inner.keep(cut_lineage(second.where("id > 1")))
+        assert len(_written(spark) - before) == 1 and third.count() == 1
+        fourth = outer.keep(cut_lineage(third))
+    assert len(_written(spark) - before) == 1 and [r["id"] for r in fourth.collect()] == [2]
+    free(fourth, spark.range(1))
+    assert _written(spark) == before
+
+
+def test_a_scope_deletes_on_failure_also_what_was_half_written(spark):
+    before = _written(spark)
+    with pytest.raises(Exception, match="three"), scope():
+        cut_lineage(spark.range(3))
+        cut_lineage(spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("three"))).otherwise(F.col("id")).alias("x")))
+    assert _written(spark) == before
+
+
+def test_settings_come_back(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    cut_lineage(spark.range(3))
+    assert spark.conf.get(key) == was
+
+
+def test_narrowing_leaves_only_what_its_result_reads(spark):
+    before = _written(spark)
+    df = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.sqrt("id").alias("x"))
+    found = exact_quantiles(df, ["x"], [0.5], ["g"], limit=50)
+    assert len(_written(spark) - before) <= 3
+    expected = df.groupBy("g").agg(F.percentile("x", F.array(F.lit(0.5))).alias("q_x"))
+    assert sorted(r["q_x"] for r in found.collect()) == sorted(r["q_x"] for r in expected.collect())
