@@ -106,7 +106,9 @@ def shared_folder(spark: SparkSession) -> str:
 _FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _SCOPES: ContextVar[tuple["Scope", ...]] = ContextVar("scopes", default=())
 # A written table is never computed again, so the shuffle files behind it can go at once.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            # Arrow steps get batches of bounded size, also where texts are long.
+            "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
 @contextmanager
