@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import budget, covering, decontaminate, exact, layout, lines, quality, rotation, suffixes, urls
+from assayflow.llm import budget, covering, decontaminate, exact, layout, lines, packing, quality, rotation, suffixes, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op13_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -70,6 +76,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_repeated_passages, op2_quality_scores, op3_benchmark_matches, op4_page_text, op5_url_verdicts, op6_exact_duplicates,
-    op7_repeated_lines, op8_rotated_dialogues, op9_near_duplicates, op10_source_mix, pipeline)}
+    op7_repeated_lines, op8_rotated_dialogues, op9_near_duplicates, op10_source_mix, op13_packed_sequences, pipeline)}
 
 ORACLE = {"op5_url_verdicts": urls.SQL, "op6_exact_duplicates": exact.SQL, "op8_rotated_dialogues": rotation.SQL}
