@@ -186,6 +186,17 @@ def place(lengths: DataFrame, limit: int = LIMIT, block: int = BLOCK, tail: int
         left, before, turn = cut_lineage(placed.where(F.col("gap") >= tail).select("key", "length")), n, turn + 1
 
 
+def pack_pieces(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """All rows and columns, with ``sequence_id`` and ``offset``; ``length`` (1 to ``limit``) says what a row takes up.
+
+    Only numbers and lengths are dealt out; the other columns are shuffled once, to meet their places.
+    """
+    with scope() as held:
+        kept = held.keep(cut_lineage(pieces.withColumn("__key", F.monotonically_increasing_id())))
+        placed = held.keep(place(kept.select(F.col("__key").alias("key"), "length"), limit))
+    return kept.join(placed.withColumnRenamed("key", "__key"), "__key").select(*[kept[f"`{c}`"] for c in pieces.columns], "sequence_id", "offset")
+
+
 def pack(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "doc_id", limit: int = LIMIT) -> DataFrame:
     """One row per piece: its document, ``piece``, ``start``, ``length``, ``ids``, ``sequence_id`` and ``offset``.
 
@@ -194,10 +205,8 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "do
     table gives an empty one. Other columns are not read, whatever their names. Long texts are cut after they are encoded
     whole, word by word, so memory grows with the longest text by a small factor only.
     """
-    with scope() as held:
-        pieces = held.keep(cut_lineage(tokenize(docs, vocabulary, text, doc_id, limit).withColumn("key", F.monotonically_increasing_id())))
-        placed = held.keep(place(pieces, limit))
-    return pieces.join(placed, "key").select(F.col("id").alias(doc_id), "piece", "start", "length", "ids", "sequence_id", "offset")
+    packed = pack_pieces(tokenize(docs, vocabulary, text, doc_id, limit), limit)
+    return packed.select(F.col("id").alias(doc_id), "piece", "start", "length", "ids", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame, doc_id: str = "doc_id") -> DataFrame:

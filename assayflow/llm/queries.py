@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import budget, covering, decontaminate, exact, layout, lines, packing, quality, rotation, suffixes, urls
+from assayflow.llm import budget, covering, decontaminate, exact, layout, lines, negatives, packing, quality, ranked, rotation, suffixes, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,10 +63,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of the ids is taken where they are made, so that ids of 4 bytes a token need not be shuffled for it."""
     import public_tokenizers
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    pieces = packing.tokenize(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = pieces.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack_pieces(digests)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_repeated_passages, op2_quality_scores, op3_benchmark_matches, op4_page_text, op5_url_verdicts, op6_exact_duplicates,
-    op7_repeated_lines, op8_rotated_dialogues, op9_near_duplicates, op10_source_mix, op13_packed_sequences, pipeline)}
+    op7_repeated_lines, op8_rotated_dialogues, op9_near_duplicates, op10_source_mix, op11_ranked_documents, op12_hard_negatives, op13_packed_sequences, pipeline)}
 
-ORACLE = {"op5_url_verdicts": urls.SQL, "op6_exact_duplicates": exact.SQL, "op8_rotated_dialogues": rotation.SQL}
+ORACLE = {"op5_url_verdicts": urls.SQL, "op6_exact_duplicates": exact.SQL, "op8_rotated_dialogues": rotation.SQL,
+          "op11_ranked_documents": ranked.SQL, "op12_hard_negatives": negatives.SQL}
