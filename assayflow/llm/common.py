@@ -100,7 +100,7 @@ def components(edges: DataFrame) -> DataFrame:
         if found == state or found[0] == 0:
             break
         state = found
-        links = cut_lineage(_small_star(_large_star(links)))
+        links = cut_lineage(_small_star(_large_star(links)), last=[links])
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         links.select("v", "v").distinct())
 

@@ -14,11 +14,8 @@ def _similar(a, b):
 
 
 def _shingles(line):
-    words, found = line.split(" "), set()
-    for i, word in enumerate(words):
-        for j in range(0, max(len(word), 1), lines.SHINGLE):
-            found.add(" ".join([word[j:j + lines.SHINGLE], *words[i + 1:i + lines.SHINGLE // 2]])[:lines.SHINGLE])
-    return found
+    """One shingle at every character; a shorter line is one."""
+    return {line[i:i + lines.SHINGLE] for i in range(max(len(line) - lines.SHINGLE, 0) + 1)}
 
 
 def _lines_by_hand(rows):
@@ -153,7 +150,7 @@ def test_rotation(spark):
             (3, 0, "system", "only"), (4, None, "ann", "t"), (4, 300, "ann", "u"), (5, 1, "bob", "same"), (5, 1, "bob", "same"), (5, 1, "ann", "same")]
     df = spark.createDataFrame([(*r, "b", "s") for r in rows], "conv_id bigint, turn bigint, role string, text string, block string, speaker string")
     found = {(r["conv_id"], r["speaker"], r["block"]): r for r in rotation.rotate(df).collect()}
-    assert set(found) == {(1, "ann", 0), (1, "bob", 0), (2, "unknown", 0), (None, "ann", 0), (4, "ann", None), (4, "ann", 1), (5, "ann", 0), (5, "bob", 0)}
+    assert set(found) == {(1, "ann", 0), (1, "bob", 0), (2, "unknown", 0), (None, "ann", 0), (4, "ann", 0), (5, "ann", 0), (5, "bob", 0)}
     shown = found[1, "ann", 0]
     assert shown["text"] == "<|system|>\nrules<|end|>\n<|assistant|>\nhi<|end|>\n<|user name=bob|>\nhello<|end|>\n<|assistant|>\n<|end|>\n"
     assert [shown["text"][m["start"]:m["end"]] for m in shown["mask"]] == ["hi<|end|>", "<|end|>"]
@@ -161,13 +158,35 @@ def test_rotation(spark):
     assert rotation.rotate(df.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("turns", [1, 255, 256, 1000])
-def test_long_dialogues_come_in_blocks(spark, turns):
-    df = spark.range(turns).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("role"), F.col("id").cast("string").alias("text"))
-    found = rotation.rotate(df).where("speaker = 'a'").orderBy("block").collect()
-    assert sum(r["n_turns"] for r in found) == turns and all(r["n_turns"] <= rotation.BLOCK for r in found)
-    said = [r["text"][m["start"]:m["end"]].removesuffix("<|end|>") for r in found for m in r["mask"]]
-    assert said == [str(i) for i in range(0, turns, 2)]
+def _whole_dialogue(rows, speaker):
+    """The unbounded rendering, and what the speaker says."""
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    heads = {speaker: "<|assistant|>", "system": "<|system|>"}
+    return "".join(f"{heads.get(role, f'<|user name={role}|>')}\n{text}<|end|>\n" for _, role, text in ordered), [t for _, role, t in ordered if role == speaker]
+
+
+@pytest.mark.parametrize("number, turns, characters", [
+    (lambda i: i, 1000, 1 << 20), (lambda i: 1000 * i, 600, 400), (lambda i: 7, 600, 1 << 20), (lambda i: None, 255, 1 << 20), (lambda i: i, 1, 1 << 20)])
+def test_blocks_join_to_the_whole_dialogue(spark, number, turns, characters):
+    """Dense, sparse, equal and missing numbers; blocks by turns and by size. A later block begins with the system turn in force."""
+    given = [(number(i), "ab"[i % 2], f"{i:04d} said") for i in range(turns)]
+    given += [(number(k), "system", f"rule {k}") for k in (0, turns // 2)]
+    df = spark.createDataFrame([(1, *r) for r in given], "conv_id long, turn long, role string, text string").repartition(5)
+    found = rotation.rotate(df, characters=characters).where("speaker = 'a'").orderBy("block").collect()
+    whole, said = _whole_dialogue(given, "a")
+    assert sum(r["n_turns"] for r in found) == len(given) and all(r["n_turns"] <= rotation.BLOCK for r in found)
+    assert [r["block"] for r in found] == [sum(x["n_turns"] for x in found[:i]) for i in range(len(found))]
+    assert [r["text"][m["start"]:m["end"]].removesuffix("<|end|>") for r in found for m in r["mask"]] == said
+    joined = ""
+    for r in found:
+        if r["text"].count("<|end|>") > r["n_turns"]:
+            head, rest = r["text"].split("<|end|>\n", 1)
+            assert head.startswith("<|system|>\n") and joined.rfind(head) == joined.rfind("<|system|>")
+        else:
+            rest = r["text"]
+        joined += rest
+    assert joined == whole
+    assert max(len(r["text"]) for r in found) < 1 << 20
 
 
 def _all_shingles(line):
