@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayflow.llm.common import cut_lineage, sift, utf8
+from assayflow.sources.tables import scope
 
 LEAST, GRAM = 50, 34
 WINDOW = LEAST - GRAM + 1
@@ -161,13 +162,18 @@ def _extents(suffixes: DataFrame, side: str, parts: int) -> DataFrame:
 
 
 def _earlier(suffixes: DataFrame, side: str) -> DataFrame:
-    """(around, least): for each run with its words on one side, the smallest id that shares the run and the first 0, 1, ... REACH of them."""
-    seen = suffixes.groupBy("run", side).agg(F.min("id").alias("least")).withColumn("around", F.xxhash64("run", side))
-    each = seen.select("run", side, "around", "least", F.explode(F.sequence(F.lit(0), F.lit(REACH))).alias("n"))
+    """(around, least): for each run with its words on one side, the smallest id that shares the run and the first 0, 1, ... REACH of them.
+
+    Most repeated runs have the same words around them wherever they occur; only the others are looked at prefix by prefix.
+    """
+    seen = cut_lineage(suffixes.groupBy("run", side).agg(F.min("id").alias("least")).withColumn("around", F.xxhash64("run", side)))
+    several = cut_lineage(seen.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"))
+    alone = seen.join(several, "run", "left_anti").select("around", F.array_repeat("least", REACH + 1).alias("least"))
+    each = seen.join(several, "run", "left_semi").select("run", side, "around", "least", F.explode(F.sequence(F.lit(0), F.lit(REACH))).alias("n"))
     each = each.select("around", "n", "least", F.expr(f"xxhash64(run, n, substring({side}, 1, 4 * n))").alias("head"))
     least = each.groupBy("head").agg(F.min("least").alias("least"))
     found = each.drop("least").join(least, "head").groupBy("around").agg(F.array_sort(F.collect_list(F.struct("n", "least"))).alias("least"))
-    return cut_lineage(found.select("around", F.transform("least", lambda x: x["least"]).alias("least")))
+    return cut_lineage(alone.union(found.select("around", F.transform("least", lambda x: x["least"]))), last=[seen, several])
 
 
 def _later(suffixes: DataFrame) -> DataFrame:
@@ -221,22 +227,32 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     """
     given = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("part"), utf8(F.col(f"`{text}`")).alias("text"))
     kind = given.schema["id"].dataType.simpleString()
+    with scope() as held:
+        return held.keep(cut_lineage(_spans_of(_suffixes(given, kind), kind)))
+
+
+def _suffixes(given: DataFrame, kind: str) -> DataFrame:
+    """The kept runs that occur more than once, with the words around them; written."""
     kept = cut_lineage(given.mapInArrow(_keep, f"id {kind}, part long, place int, run long"))
     twice = cut_lineage(kept.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     marks = sift(kept, "run", twice).join(twice, "run").select("id", "part", F.struct("place", "run").alias("mark"))
-    marked = cut_lineage(marks.groupBy("id", "part").agg(F.collect_set("mark").alias("marks")))
+    marked = cut_lineage(marks.groupBy("id", "part").agg(F.collect_set("mark").alias("marks")), last=[kept, twice])
     texts = sift(given, "part", marked).alias("t").join(marked.alias("m"), F.expr("t.id <=> m.id and t.part = m.part"))
     around = texts.select("t.id", "t.part", "t.text", "m.marks").mapInArrow(
         _surround, f"id {kind}, part long, run long, place int, before binary, after binary, n_before int, n_after int")
-    suffixes = cut_lineage(around)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(around, last=[marked])
+
+
+def _spans_of(suffixes: DataFrame, kind: str) -> DataFrame:
+    parts = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sides = [_extents(suffixes, side, parts).withColumnsRenamed({"ext": side}) for side in ("before", "after")]
     names = ["before", "after", "later_before", "later_after"]
-    both = sides[0].unionByName(sides[1], allowMissingColumns=True).unionByName(_later(suffixes), allowMissingColumns=True)
+    later = cut_lineage(_later(suffixes), last=[suffixes])
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True).unionByName(later, allowMissingColumns=True)
     best = both.groupBy("id", "part", "place").agg(*[F.max(c).alias(c) for c in names])
     grouped = best.groupBy("id", "part").agg(F.collect_list(F.struct("place", *names)).alias("found"))
     spans = grouped.mapInArrow(_spans, f"id {kind}, part long, starts array<long>, ends array<long>, later_starts array<long>, later_ends array<long>")
-    return cut_lineage(spans.where(F.size("starts") > 0))
+    return spans.where(F.size("starts") > 0)
 
 
 def passage_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
