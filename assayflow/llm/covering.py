@@ -11,10 +11,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayflow.llm.common import append, components, cut_lineage
+from assayflow.sources.tables import scope
 
 BITS, SEED = 64, 42
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -163,27 +164,41 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     an empty table gives an empty one. Other columns are not read, whatever their names.
     """
     given = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    marked = cut_lineage(fingerprints(given, "text", ["id"], words))
-    return marked.join(_labels(marked, radius), "fp").select(F.col("id").alias(doc_id), "fp", "component_id")
+    with scope() as held:
+        marked = held.keep(cut_lineage(fingerprints(given, "text", ["id"], words)))
+        labels = held.keep(_labels(marked, radius))
+    return marked.join(labels, "fp").select(F.col("id").alias(doc_id), "fp", "component_id")
 
 
 def _labels(marked: DataFrame, radius: int) -> DataFrame:
+    """Per fingerprint its component (one of its fingerprints) and the smallest id of it; written."""
     points = cut_lineage(marked.groupBy("fp").agg(F.min("id").alias("least")))
     groups = components(links(points, radius))
     linked = cut_lineage(points.join(groups.withColumnRenamed("node", "fp"), "fp"))
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "component").select("fp", "component_id")
-    return cut_lineage(points.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
+    named = linked.join(least, "component").select("fp", "component", "component_id")
+    return cut_lineage(points.join(named, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "least").alias("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = 4, words: int = 4) -> DataFrame:
-    """One document of each component stays, the one of the smallest id; all columns of the input come back.
+    """One row of each component stays, with all columns of the input: that of the smallest id, null ids last, then of the smallest text hash.
 
-    Rows that repeat the id that stays are the same document and all stay. Components and edge cases are those
+    Of rows that repeat this id and text, one stays, whichever. Components and edge cases are those
     of ``near_duplicates``. The rows are fingerprinted twice: once to find the components, once, whole, to be
     filtered, which is cheaper than writing all texts out.
     """
     packed = docs.select(F.struct("*").alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    labels = _labels(cut_lineage(fingerprints(packed.select("id", "text"), "text", ["id"], words)), radius)
-    marked = fingerprints(packed, "text", ["row", "id"], words)
-    return marked.join(labels, "fp").where(F.col("id").eqNullSafe(F.col("component_id"))).select("row.*")
+    packed = packed.withColumn("part", F.xxhash64("text"))
+    with scope() as held:
+        marked = cut_lineage(fingerprints(packed.select("id", "part", "text"), "text", ["id", "part"], words))
+        labels = _labels(marked, radius)
+        alike = marked.join(labels, "fp").groupBy("component", "id", "part").agg(F.count("*").alias("copies"))
+        stays = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "part", "copies")).alias("stays")
+        first = alike.groupBy("component").agg(stays)
+        chosen = held.keep(cut_lineage(labels.join(first, "component").select("fp", "component", "stays")))
+    found = fingerprints(packed, "text", ["row", "id", "part"], words).join(chosen, "fp")
+    found = found.where(F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("part") == F.col("stays.part")))
+    # Only rows that repeat a row that stays need to be told apart.
+    one = F.row_number().over(Window.partitionBy("component").orderBy("fp"))
+    repeated = found.where("stays.copies > 1").withColumn("n", one).where("n = 1")
+    return found.where("stays.copies = 1").select("row.*").union(repeated.select("row.*"))

@@ -29,7 +29,7 @@ class TestBlock:
 
     def __init__(self, items: list[tuple], window: int):
         texts = [words_of(text) for _, text in items]
-        self.ids = [str(item) for item, _ in items]
+        self.ids = [item if item is None else str(item) for item, _ in items]
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for t in texts for w in t}))}
         self.words = np.array([self.vocabulary[w] for t in texts for w in t] or [0], np.int32)
         ends = np.cumsum([len(t) for t in texts])
@@ -93,7 +93,7 @@ def search(texts: list[bytes], block: TestBlock) -> list[tuple[int, list[int], l
                     going = going[words[fresh[going] + length[going]] == ahead]
                     length[going] += 1
                 for doc, place, n in zip((np.searchsorted(starts, fresh, "right") - 1).tolist(), fresh.tolist(), length.tolist(), strict=True):
-                    longest[doc] = max(longest.get(doc, (0, 0, "")), (n, -int(place - starts[doc]), block.ids[item]))
+                    longest[doc] = max(longest.get(doc, (0, 0, "")), (n, -int(place - starts[doc]), block.ids[item] or ""))
     spans: dict[int, list] = {}
     if hits:
         place, width = np.unique(np.concatenate(hits), axis=0).T
@@ -105,7 +105,8 @@ def search(texts: list[bytes], block: TestBlock) -> list[tuple[int, list[int], l
     items_of: dict[int, set] = {}
     if found_items:
         for doc, item in np.unique(np.concatenate(found_items), axis=0).tolist():
-            items_of.setdefault(doc, set()).add(block.ids[item])
+            if block.ids[item] is not None:
+                items_of.setdefault(doc, set()).add(block.ids[item])
     return [(n, [a for a, _ in spans.get(d, [])], [b for _, b in spans.get(d, [])], sorted(items_of.get(d, ())), longest.get(d))
             for d, n in enumerate(counts)]
 
@@ -127,8 +128,6 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterat
     held, total, first = [], 0, True
     rows = benchmark.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item_id}`").cast("string"), utf8(F.col(f"`{text}`")))
     for item, content in rows.toLocalIterator():
-        if item is None:
-            continue
         held.append((item, bytes(content)))
         total += len(content) + 64
         if total >= limit:
@@ -148,9 +147,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
 
     ``n_words``; ``starts`` and ``ends`` of the stretches of words inside any occurrence of a window (``window``
     consecutive words of an item; an item of fewer words is one window); ``items`` with occurring windows,
-    sorted as strings; the length, first place and item of the longest verbatim match. Items are searched in
+    sorted as strings; the length, first place and item of the longest verbatim match that holds a whole window. Items are searched in
     blocks of at most ``block_bytes`` of text, one pass over the batches each, so any number of items works.
-    Null texts have no words, items of null id or null text are left out, an empty table of items hits nothing, an empty
+    Null texts have no words and items of null text are left out; items of null id hit documents like others but appear in no list. An empty table of items hits nothing, an empty
     table of documents gives an empty one. Columns named like the new ones are replaced.
     """
     first = True
@@ -163,7 +162,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
                 rows = [row for shard in shards(texts, shard_bytes) for row in search(shard, shared.value)]
                 yield [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows],
                        [r[4][0] if r[4] else 0 for r in rows], [-r[4][1] if r[4] else None for r in rows],
-                       [r[4][2] if r[4] else None for r in rows]]
+                       [r[4][2] or None if r[4] else None for r in rows]]
 
         if first:
             found, first = append(found, text, RESULT, step), False
