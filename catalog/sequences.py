@@ -164,8 +164,8 @@ def folded_fingerprint_wide(spark, sf_dir):
 , r as (select row_id, unnest(list_distinct(list_transform(range(1, length(notation)-1), lambda i: substr(notation, i::bigint, 3)))) as s from v),
 o as (select distinct row_id, ('0x'||substr(md5(s),1,8))::bigint % 256 as bit from r),
 n as (select row_id, count(*) as n from o group by row_id),
-p as (select a.row_id, b.row_id as neighbour, count(*) as both from o a join o b using (bit) where a.row_id <> b.row_id group by a.row_id, b.row_id),
-s as (select p.row_id, neighbour, both / (a.n + b.n - both) as similarity from p join n a on a.row_id = p.row_id join n b on b.row_id = neighbour)
+p as (select a.row_id, b.row_id as neighbour, count(*) as hits from o a join o b using (bit) where a.row_id <> b.row_id group by a.row_id, b.row_id),
+s as (select p.row_id, neighbour, hits / (a.n + b.n - hits) as similarity from p join n a on a.row_id = p.row_id join n b on b.row_id = neighbour)
 select row_id, cast(row_number() over (partition by row_id order by similarity desc, neighbour) as integer) as rank, neighbour, round(similarity, 9) as similarity
 from s where similarity >= 0.6 qualify row_number() over (partition by row_id order by similarity desc, neighbour) <= 15"""))
 def jaccard_topk(spark, sf_dir):
