@@ -167,11 +167,8 @@ class FittedForest:
             paths[t, node] = path
         return features, thresholds, paths
 
-    def threshold(self, df: DataFrame, limit: int | None = None) -> float:
-        """The score below which the contamination share of the rows lies."""
-        return self._threshold_of(cut_lineage(self.score(df, "s").select("s")), "s", limit)
-
-    def _threshold_of(self, scored: DataFrame, column: str, limit: int | None) -> float:
+    def threshold_of(self, scored: DataFrame, column: str, limit: int | None = None) -> float:
+        """The score below which the contamination share of the scored rows lies."""
         found = quantile_values(scored, [column], [self.forest.contamination], limit)[column]
         return found[0] if found else float("-inf")
 
@@ -185,6 +182,6 @@ class FittedForest:
         scored = self.score(df, column)
         if threshold is None:
             scored = cut_lineage(scored)
-            threshold = self._threshold_of(scored, column, limit)
+            threshold = self.threshold_of(scored, column, limit)
         scored = scored.withColumn(name, flag(F.col(column) < F.lit(threshold)))
         return scored if score else scored.drop(column)

@@ -5,17 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow import defaults as D
 from assayflow.functions.numbers import flag, log10_positive, nan_to_null, safe_ratio
-from assayflow.operators.isolation import FittedForest, IsolationForest, isolation_features
+from assayflow.operators.isolation import IsolationForest, isolation_features
 from assayflow.operators.joins import join_groups
 from assayflow.operators.quantiles import exact_quantiles, quantile_values
 from assayflow.operators.stats import group_median_mad
-from assayflow.sources.tables import cut_lineage
+from assayflow.sources.tables import Scope, cut_lineage, scope
 
 
 def any_of(predicates: Sequence[Column]) -> Column:
@@ -79,8 +78,14 @@ def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.
     ``target_rate`` of their rows; NULL when none does. Smaller groups take ``fence``. The table is
     written out, so that whatever uses it reads a few numbers per group and not the rows again.
     """
+    with scope() as held:
+        return held.keep(cut_lineage(_fences(df, a, b, group, fence, adaptive, target_rate, fence_grid, min_group_size, use_ratio, limit)))
+
+
+def _fences(df, a, b, group, fence, adaptive, target_rate, fence_grid, min_group_size, use_ratio, limit) -> DataFrame:
     logs = measures_of(df, a, b, use_ratio)
-    rows = df.select(group, *[x.alias(name) for name, x in logs.items()])
+    # What the passes below read is a key and a few numbers per row, whatever it took to compute them.
+    rows = cut_lineage(df.select(group, *[x.alias(name) for name, x in logs.items()]))
     quartiles = exact_quantiles(rows, list(logs), [0.25, 0.75], [group], limit)
     quartiles = quartiles.select(group, "n_rows", *[F.get(f"q_{x}", i).alias(q) for x in logs
                                                     for i, q in enumerate(quartile_names([x]))])
@@ -94,7 +99,7 @@ def group_fences(df: DataFrame, a: str, b: str, group: str, *, fence: float = D.
     chosen = F.when(F.col("n_rows") < min_group_size, F.lit(float(fence)))
     for i, f in enumerate(fence_grid):
         chosen = chosen.when(F.col(f"rate_{i}") <= target_rate, F.lit(float(f)))
-    return cut_lineage(rates.withColumn("fence", chosen))
+    return rates.withColumn("fence", chosen)
 
 
 def adaptive_iqr(df: DataFrame, a: str = "kcat_value", b: str = "km_value", group: str | None = "enzyme", *,
@@ -176,18 +181,23 @@ def apply_outlier_strategy(df: DataFrame, *, row_id: Sequence[str], a: str = "kc
     if not isolation:
         return survivors
     columns = iso_columns or isolation_features(survivors)
-    forest, threshold = fit_forest(survivors, columns, row_id, contamination, limit)
-    return forest.flag(survivors, "_iso", threshold=threshold).filter(~F.col("_iso")).drop("_iso")
+    with scope() as held:
+        scored, threshold = score_once(held, survivors, columns, row_id, contamination, "_iso", limit=limit)
+    return scored.filter(~flag(F.col("_iso") < F.lit(threshold))).drop("_iso")
 
 
-def fit_forest(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], contamination: float,
-               limit: int | None = None) -> tuple[FittedForest, float]:
-    """The forest and its threshold. The columns it reads several times are kept until both are known."""
-    inputs = df.select(*dict.fromkeys([*row_id, *columns])).persist(StorageLevel.MEMORY_AND_DISK)
-    forest = IsolationForest(columns, row_id, contamination).fit(inputs, limit)
-    threshold = forest.threshold(inputs, limit)
-    inputs.unpersist()
-    return forest, threshold
+def score_once(held: Scope, df: DataFrame, columns: Sequence[str], row_id: Sequence[str], contamination: float, name: str,
+               among: Column | None = None, limit: int | None = None) -> tuple[DataFrame, float]:
+    """The rows with their score, written and handed on by the scope ``held``, and the threshold below which the contamination share lies.
+
+    The forest and the threshold rest on the rows that ``among`` picks, by default all. The rows are computed once and scored once: both
+    tables are written, and the threshold is found in the second one.
+    """
+    rows = cut_lineage(df)
+    known = rows if among is None else rows.filter(among)
+    forest = IsolationForest(columns, row_id, contamination).fit(known, limit)
+    scored = held.keep(cut_lineage(forest.score(rows, name), last=[rows]))
+    return scored, forest.threshold_of(scored if among is None else scored.filter(among), name, limit)
 
 
 def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_value", b: str = "km_value",
@@ -215,10 +225,9 @@ def sequential_labels(df: DataFrame, *, row_id: Sequence[str], a: str = "kcat_va
     labelled = rows.select(*df.columns, "_dom", kinetics.alias("_kin"))
     iso = F.lit(False)
     if isolation:
-        rest = labelled.filter(~F.col("_dom") & ~F.col("_kin"))
         columns = iso_columns or isolation_features(df)
-        forest, threshold = fit_forest(rest, columns, row_id, contamination, limit)
-        labelled = forest.score(labelled, "_score")
+        with scope() as held:
+            labelled, threshold = score_once(held, labelled, columns, row_id, contamination, "_score", ~F.col("_dom") & ~F.col("_kin"), limit)
         iso = flag(F.col("_score") < F.lit(threshold))
     outcome = (F.when(F.col("_dom"), "domain_drop").when(F.col("_kin"), "kinetics_drop")
                .when(iso, "iso_drop").otherwise("kept"))
@@ -235,8 +244,9 @@ def independent_masks(df: DataFrame, *, a: str = "kcat_value", b: str = "km_valu
     if not isolation:
         return flags
     columns = iso_columns or isolation_features(df)
-    forest, threshold = fit_forest(df, columns, row_id, contamination, limit)
-    return forest.flag(flags, "iso", "iso_score", threshold)
+    with scope() as held:
+        scored, threshold = score_once(held, flags, columns, row_id, contamination, "iso_score", limit=limit)
+    return scored.withColumn("iso", flag(F.col("iso_score") < F.lit(threshold)))
 
 
 def priority_label(flags: dict[str, Column], order: Sequence[str], otherwise: str = "regular") -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from assayflow import defaults as D
 from assayflow.operators.clean import basic_clean, split_feature_blocks
@@ -14,6 +15,7 @@ from assayflow.operators.features import FeatureModel, fit_features
 from assayflow.operators.notations import add_notation_features
 from assayflow.operators.outliers import apply_outlier_strategy
 from assayflow.operators.parsing import expand_codes, standardize_ph, standardize_temperature
+from assayflow.operators.sampling import hash_split
 from assayflow.operators.sequences import add_sequence_features
 from assayflow.sources.tables import NamedTables, read_table, write_bundle
 
@@ -42,12 +44,17 @@ def derive_features(raw: DataFrame, properties: DataFrame | None = None, reactio
 
 def preprocess(spark, raw_path: str, row_id: Sequence[str], tables: NamedTables,
                properties: DataFrame | None = None, reactions: DataFrame | None = None,
-               mode: str = "simple", **options) -> Prepared:
-    """The whole job. Texts are read once: the stages after ``derived`` pass over written columns."""
+               mode: str = "simple", test_percent: int = 20, **options) -> Prepared:
+    """The whole job. Texts are read once: the stages after ``derived`` pass over written columns.
+
+    Features are fitted without the rows that ``train`` holds out, which are those of the same ids and ``test_percent``.
+    """
     derived = tables.save(derive_features(read_table(spark, raw_path), properties, reactions, mode), "derived")
     clean = tables.save(apply_outlier_strategy(derived, row_id=row_id, **options), "clean")
     columns, _ = split_feature_blocks(clean, [*D.TARGETS, *row_id])
-    model = fit_features(clean, columns, "fp_bits")
+    # Medians, scales, bits and projection come from the rows that training uses; all rows are then transformed by them.
+    fit_rows = hash_split(clean, list(row_id), test_percent).filter(~F.col("is_test")).drop("is_test")
+    model = fit_features(fit_rows, columns, "fp_bits")
     model.save(spark, f"{tables.root}/feature_model")
     bundle = model.transform(clean)
     write_bundle(bundle, f"{tables.root}/bundle", list(row_id), "features", D.TARGETS,

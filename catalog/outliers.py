@@ -7,7 +7,7 @@ from assayflow.operators import outliers as O
 from assayflow.operators import parsing
 from assayflow.operators.isolation import IsolationForest
 from assayflow.operators.stats import histogram
-from assayflow.sources.tables import cut_lineage
+from assayflow.sources.tables import cut_lineage, scope
 from catalog import query
 from catalog.parsing import SQL_PH_SIMPLE, SQL_TEMP_SIMPLE
 from catalog.views import over, table, view
@@ -226,9 +226,9 @@ def isolation_forest(spark, sf_dir):
 
 @query("isolation_scores")
 def isolation_scores(spark, sf_dir):
-    df = _lines(spark, sf_dir)
-    forest, cut = O.fit_forest(df, ISO_COLUMNS, LINE_ID, 0.01)
-    return forest.score(df, "score").withColumns({"threshold": F.lit(cut), "iso": F.col("score") < F.lit(cut)})
+    with scope() as held:
+        scored, cut = O.score_once(held, _lines(spark, sf_dir), ISO_COLUMNS, LINE_ID, 0.01, "score")
+    return scored.withColumns({"threshold": F.lit(cut), "iso": F.col("score") < F.lit(cut)})
 
 
 @query("sequential_three_stage")

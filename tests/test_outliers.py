@@ -140,3 +140,21 @@ def test_isolation_forest_fills_missing_values(spark):
 def test_average_path():
     assert average_path(1) == 0.0 and average_path(2) == 1.0
     assert average_path(256) == pytest.approx(10.2448, abs=1e-4)
+
+
+def test_rows_are_scored_once(spark, monkeypatch):
+    """Each of the three ways to use the forest has one scoring step in its plans, and agrees with a forest fitted by hand."""
+    from assayflow.operators import outliers as O
+    from assayflow.operators.isolation import FittedForest
+    scored = []
+    real = FittedForest.score
+    monkeypatch.setattr(FittedForest, "score", lambda self, df, name="iso_score": scored.append(name) or real(self, df, name))
+    df = spark.range(2000).select("id", (F.col("id") % 7 + 1).cast("double").alias("a"), (F.hash("id") % 50 + 60).cast("double").alias("b"), (F.col("id") % 3).alias("g"))
+    options = {"row_id": ["id"], "a": "a", "b": "b", "rules": {"none": F.lit(False)}, "iso_columns": ["a", "b"]}
+    kept = O.apply_outlier_strategy(df, group="g", **options)
+    assert "ArrowEvalPython" not in kept._jdf.queryExecution().executedPlan().toString() and kept.columns == df.columns
+    outcomes = {r["outcome"]: r["n"] for r in O.sequential_labels(df, group="g", **options).groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+    assert outcomes["kept"] == kept.count()
+    masks = O.independent_masks(df, **options)
+    assert masks.where("iso").count() == masks.where("iso_score < (select 1.0)").count() - masks.where("not iso").count()
+    assert len(scored) == 3
