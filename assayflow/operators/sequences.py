@@ -89,6 +89,17 @@ def add_sequence_features(df: DataFrame, column: str = "sequence", prefix: str =
     return df.select(*[c for c in kept if c not in names], *names)
 
 
+def add_isoelectric_point(df: DataFrame, column: str = "sequence", name: str = "isoelectric_point") -> DataFrame:
+    """Add the pH at which the sequence has no charge; null for short and missing sequences.
+
+    Letters are counted in one projection, and the point is found in the next by column expressions: no Python, no shuffle.
+    """
+    letters = [*S.ACIDS, *S.BASES]
+    guarded = normalize_sequence(df, column).withColumn("_clean", F.when(long_enough(), F.col("clean_sequence")))
+    counted = guarded.withColumns({f"_n_{a}": S.letter_count(F.col("_clean"), a) for a in letters})
+    return counted.select(*df.columns, S.isoelectric_point(F.col("_clean"), {a: F.col(f"_n_{a}") for a in letters}).alias(name))
+
+
 def weighted(parts: Mapping[str, Column], weights: Mapping[str, float]) -> Column:
     """Sum of letter parts times letter weights."""
     return S.total([parts[a] * F.lit(w) for a, w in weights.items()])

@@ -103,6 +103,29 @@ WEIGHTS_SQL = f"""select substr('{L}',i::int,1)||substr('{L}',j::int,1) as pair,
  from (select unnest(range(1,21)) as i) a, (select unnest(range(1,21)) as j) b"""
 
 
+def _ends_sql(letter, other, known):
+    return f"case {letter} " + " ".join(f"when '{a}' then {pk}" for a, pk in known.items()) + f" else {other} end"
+
+
+def _charge_sql(ph):
+    plus = [f"1/(1+power(10.0,({ph})-first_end))", *[f"n_{a}/(1+power(10.0,({ph})-{pk}))" for a, pk in S.BASES.items()]]
+    minus = [f"1/(1+power(10.0,last_end-({ph})))", *[f"n_{a}/(1+power(10.0,{pk}-({ph})))" for a, pk in S.ACIDS.items()]]
+    return f"({'+'.join(plus)}-({'+'.join(minus)}))"
+
+
+@query("isoelectric_point", over("v_seq", SEQ_SQL + f""", p as (
+  select *, {_ends_sql("clean[1]", S.FIRST_END, S.FIRST_ENDS)} as first_end, {_ends_sql("clean[-1]", S.LAST_END, S.LAST_ENDS)} as last_end from n where clean is not null),
+r as (
+  select row_id, 0 as step, 0.0::double as low, {S.WIDEST_PH}::double as high from p
+  union all select row_id, step + 1, case when charge > 0 then middle else low end, case when charge > 0 then high else middle end
+  from (select row_id, step, low, high, (low + high) / 2 as middle, {_charge_sql("(low + high) / 2")} as charge from r join p using (row_id)) where step < {S.HALVINGS})
+select n.row_id, round((low + high) / 2, 6) as isoelectric_point from n left join (select * from r where step = {S.HALVINGS}) h on h.row_id = n.row_id""")
+       .replace("with v as", "with recursive v as", 1))
+def isoelectric_point(spark, sf_dir):
+    df = sequences.add_isoelectric_point(view(spark, sf_dir, "v_seq", spread=True), "sequence")
+    return df.select("row_id", F.round("isoelectric_point", 6).alias("isoelectric_point"))
+
+
 @query("bigram_score", over("v_seq", SEQ_SQL + f""", w as ({WEIGHTS_SQL}),
  g as (select row_id, len, substr(clean, u::bigint, 2) as pair from (select row_id, len, clean, unnest(range(1, len::bigint)) as u from n)),
  s as (select row_id, 10.0/len*sum(weight) as score from g join w using (pair) group by row_id, len)

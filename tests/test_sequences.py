@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from assayflow.functions import notation as N
 from assayflow.operators.notations import add_notation_features, log_scale_features
-from assayflow.operators.sequences import add_sequence_features, bigram_score, normalize_sequence
+from assayflow.functions import sequence as S
+from assayflow.operators.sequences import add_isoelectric_point, add_sequence_features, bigram_score, normalize_sequence
 
 
 def test_normalize(spark):
@@ -66,3 +67,18 @@ def test_log_scale(spark):
     out = log_scale_features(df, {"MW": "log_MW"}, {"TPSA": "log_TPSA"})
     assert out.columns == ["log_MW", "log_TPSA"]
     assert [tuple(r) for r in out.collect()] == [(2.0, 0.0), (None, None)]
+
+
+def test_charge_at_the_isoelectric_point_is_nil(spark):
+    """Known chains lie where their groups say, and the charge at the point found is below 1e-3."""
+    chains = ["MKWVTFISLLFLFSSAYSRGV", "DDDDDEEEEEDDDDDEEEEE", "KKKKKRRRRRKKKKKRRRRR", "GGGGGGGGGGGG", "ACDEFGHIKLMNPQRSTVWY" * 40]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(chains)] + [(10, "MK"), (11, None), (12, "")], "id long, sequence string")
+    found = {r["id"]: r["isoelectric_point"] for r in add_isoelectric_point(df).collect()}
+    assert found[10] is None and found[11] is None and found[12] is None
+    for i, chain in enumerate(chains):
+        first, last = S.FIRST_ENDS.get(chain[0], S.FIRST_END), S.LAST_ENDS.get(chain[-1], S.LAST_END)
+        bases = [(1, first), *[(chain.count(a), pk) for a, pk in S.BASES.items()]]
+        acids = [(1, last), *[(chain.count(a), pk) for a, pk in S.ACIDS.items()]]
+        charge = sum(n / (1 + 10 ** (found[i] - pk)) for n, pk in bases) - sum(n / (1 + 10 ** (pk - found[i])) for n, pk in acids)
+        assert abs(charge) < 1e-3
+    assert found[1] < 4.2 and found[2] > 11.5 and 5 < found[3] < 6
