@@ -138,14 +138,14 @@ def _contaminated(rows, items, window=10):
     for item, text in items:
         words = WORD.findall((text or "").translate(LOWER))
         width = min(window, len(words))
-        for i in range(len(words) - width + 1 if width and item is not None else 0):
-            windows.setdefault(tuple(words[i:i + width]), set()).add(str(item))
+        for i in range(len(words) - width + 1 if width else 0):
+            windows.setdefault(tuple(words[i:i + width]), set()).update([] if item is None else [str(item)])  # an item without an id hits, too
     widths, result = {len(w) for w in windows}, []
     for i, text in rows:
         words, hit, found = WORD.findall((text or "").translate(LOWER)), set(), set()
         for width in widths:
             for k in range(len(words) - width + 1):
-                if (items_of := windows.get(tuple(words[k:k + width]))):
+                if (items_of := windows.get(tuple(words[k:k + width]))) is not None:
                     hit |= set(range(k, k + width))
                     found |= items_of
         result.append((str(i), len(words), len(hit), sorted(found)))
@@ -156,7 +156,7 @@ def _contaminated(rows, items, window=10):
 def test_matches_against_all_windows(spark, docs, sf_dir, block):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     given = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    extra = spark.createDataFrame([(900, "Short item"), (901, None), (902, ""), (903, rows[5][1][:300]), (None, "nothing here"), (904, "the")], "item_id bigint, text string")
+    extra = spark.createDataFrame([(900, "Short item"), (901, None), (902, ""), (903, rows[5][1][:300]), (None, "nothing here"), (None, " ".join(rows[9][1].split()[:14])), (904, "the")], "item_id bigint, text string")
     items = given.union(extra)
     found = decontaminate.find_matches(docs, items, block_bytes=block).withColumn("n_hit", decontaminate.hit_words())
     got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], list(r["items"])) for r in found.collect())
@@ -262,6 +262,20 @@ def test_links_against_all_pairs(spark, block):
     assert [found.get(int(p), int(p)) for p in points] == points[label].tolist()
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Also where rows repeat, and where all ids of a component are missing."""
+    text = sentence(31, 4000)
+    near = [text + " " + sentence(32 + k, 1) for k in range(3)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (None, near[2]), (7, sentence(40, 50)), (7, sentence(40, 50)), (8, sentence(40, 50)), (9, sentence(41, 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    components = {r["fp"]: r["component_id"] for r in covering.near_duplicates(df).collect()}
+    left = covering.drop_near_duplicates(df).collect()
+    assert sorted(r["doc_id"] or 0 for r in left) == [0] * (len(left) - 2) + [7, 9]
+    groups = {covering.fingerprint(t.encode()) for t in near}
+    linked = len(groups) == 1 or all(bin(a ^ b).count("1") <= 4 for a in groups for b in groups)
+    assert linked and len(left) == 3 and len(components) == len(groups) + 2
+
+
 def test_near_duplicates_of_odd_documents(odd_docs, no_docs):
     found = covering.near_duplicates(odd_docs)
     assert found.columns == ["doc_id", "fp", "component_id"] and found.count() == odd_docs.count()
