@@ -180,3 +180,50 @@ def test_odd_tables(spark):
     assert empty.base == 0.0 and empty.table(spark).count() == 2
     with pytest.raises(ValueError):
         B.boost(df, "id", B.Settings(bins=300))
+
+
+def test_rows_lie_in_blocks_and_only_open_nodes_get_rows(spark):
+    """A record per Arrow batch, not per row, so that passes do not cost by the record."""
+    df, x, y = _table(spark, 3000, seed=5, parts=2)
+    with B.Training(df, "id", B.Settings(rounds=1, depth=3, bins=16)) as run:
+        assert run.rows.count() <= 4
+        tree = run.grow(1).trees[0]
+        bins = np.stack([np.where(np.isnan(x[:, i]), B.MISSING, np.searchsorted(c, x[:, i], side="right")) for i, c in enumerate(run.cuts)]).astype(np.uint8)
+    whole = tree.leaf_of(bins.T)
+    wanted = [n for n, f in enumerate(tree.feature) if f < 0][:2]
+    some = dict(tree.parts(bins, np.arange(len(y)), tree.leading(wanted)))
+    assert sorted(some) == wanted and all((np.sort(some[n]) == np.flatnonzero(whole == n)).all() for n in wanted)
+
+
+def test_medians_are_exact_also_by_digits(spark, monkeypatch):
+    """Many equal numbers, both zeros, huge and tiny ones; few numbers may be gathered, so that all digits are looked at."""
+    monkeypatch.setattr(B, "GATHERED", 3)
+    rng = np.random.default_rng(6)
+    y = np.concatenate([np.full(300, 0.25), np.zeros(200), [-0.0] * 20, rng.normal(size=401), 10.0 ** rng.integers(-300, 300, 50), -(10.0 ** rng.integers(-300, 300, 50))])
+    side = rng.integers(0, 2, len(y))
+    df = spark.createDataFrame([(i, [float(s)], float(v)) for i, (s, v) in enumerate(zip(side, y, strict=True))], "id long, features array<double>, label double")
+    with B.Training(df, "id", B.Settings(rounds=1, leaves=2, rows=1.0, columns=1.0, bins=4, loss="absolute", min_weight=1, l2=1.0)) as run:
+        tree = B.Tree()
+        tree.split(0, B.Split(1.0, 0, 0, False, 0.0, 1.0, 0.0, 2.0), (0.0, 0.0))
+        run._take_medians(tree)
+        for node, rest in ((1, y[side < run.cuts[0][0]] - run.base), (2, y[side >= run.cuts[0][0]] - run.base)):
+            assert tree.value[node] == (np.median(rest) if len(rest) else 0.0)
+    assert (B.ordered_numbers(B.ordered_bits(y)) == y).all() and (np.argsort(B.ordered_bits(np.unique(y))) == np.arange(len(np.unique(y)))).all()
+
+
+def test_cuts_do_not_depend_on_the_way_they_are_found(spark, monkeypatch):
+    df = _table(spark, 700, seed=7)[0].select(F.transform("features", lambda v: F.coalesce(v, F.lit(float("nan")))).alias("features"))
+    known = df.select(F.transform("features", lambda v: F.when(~F.isnan(v), v)).alias("v"))
+    counted = B.quantile_cuts(known, "v", 4, 32)
+    monkeypatch.setattr(B, "DISTINCT", 5)
+    assert B._counted_quantiles(known, "v", 4, [0.5]) == {}
+    assert all(np.allclose(a, b, rtol=1e-14) for a, b in zip(counted, B.quantile_cuts(known, "v", 4, 32), strict=True))
+
+
+def test_several_leaves_are_looked_at_in_a_pass(spark, monkeypatch):
+    """Seven leaves once took six passes."""
+    passes, search = [], B._search
+    monkeypatch.setattr(B, "_search", lambda rows, job, sizes: passes.append(1) or search(rows, job, sizes))
+    df = _table(spark, 2000, seed=8, gaps=False)[0]
+    model = B.boost(df, "id", B.Settings(rounds=1, leaves=7, rows=1.0, columns=1.0, bins=16))
+    assert sum(f < 0 for f in model.trees[0].feature) == 7 and len(passes) <= 4
