@@ -160,3 +160,28 @@ def test_ratio_target_and_no_target(spark):
     found = M.compare_models(df, ["kcat_value", "kcat_km"], "features", "id", fits)
     assert {r["target"] for r in found.select("target").distinct().collect()} == {"kcat_value", "kcat_km"}
     assert M.compare_models(df, ["absent"], "features", "id", fits).count() == 0
+
+
+def test_draws_that_differ_in_length_are_one_training(spark, monkeypatch):
+    """The scores are those of the cross-validator of MLlib; 2 trainings a fold and the last one, where there were 4 a fold."""
+    _, _, df = _linear(spark)
+    train = M.train_part(M.model_rows(df, "kcat_value", "features", "id")).coalesce(1).cache()
+    base = M.boosted_trees(stepSize=0.5, subsamplingRate=1.0, featureSubsetStrategy="all")
+    space, fits = {"maxIter": [2, 5], "maxDepth": [1, 3]}, []
+    whole = M.CrossValidator(estimator=base, estimatorParamMaps=M._param_maps(base, space, 4, 1), numFolds=2, foldCol="fold",
+                             evaluator=M.RegressionEvaluator(metricName="r2")).fit(K.hash_folds(train, "id", 2))
+    fit = M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    found = M.random_search(train, "id", base, space, draws=4, folds=2, seed=1)
+    assert len(fits) == 5 and found.avgMetrics == pytest.approx(whole.avgMetrics, abs=1e-9)
+    assert found.bestModel.getNumTrees == whole.bestModel.getNumTrees and M.search_report(found).count() == 4
+
+
+def test_models_are_fitted_on_small_partitions(spark, monkeypatch):
+    """A table of one file is read by several tasks."""
+    from assayflow.sources import tables
+    monkeypatch.setattr(tables, "PART_BYTES", 1 << 16)
+    df = spark.range(60_000, numPartitions=1).select("id", F.xxhash64("id").alias("x"), F.rand(1).alias("label"))
+    rows = tables.cut_lineage(df, small_parts=True)
+    with tables.settings(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 16), "spark.sql.files.openCostInBytes": "4096"}):
+        assert len([n for n in rows.rdd.glom().map(len).collect() if n]) > 4
