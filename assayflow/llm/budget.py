@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayflow.llm.common import cut_lineage
@@ -120,22 +120,41 @@ def _mixed(rows: DataFrame, weights: Sequence[float], share: float, most: float,
     mark = F.xxhash64(F.lit(seed), "id", "size")
     part = F.pmod(F.xxhash64(F.lit(seed + 1), "id", "size"), F.lit(PARTS)).cast("int")
     marked = rows.withColumns({"__mark": mark, "__part": part})
-    from pyspark.sql import Window
-    parts = marked.where("size > 0").groupBy("source", "size", "__part").agg(F.count("*").alias("here"))
-    running = Window.partitionBy("source", "size").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    before = parts.select("source", "size", "__part", "here", F.coalesce(F.sum("here").over(running), F.lit(0)).alias("before"))
-    p, q = before.alias("p"), plan.alias("q")
-    edges = cut_lineage(p.join(q, F.expr("p.source <=> q.source and p.size = q.size"))
-                        .select("p.source", "p.size", "p.__part", "passes", F.least(F.greatest(F.col("extra") - F.col("before"), F.lit(0)), F.col("here")).alias("take"), "here"))
-    m, e = marked.alias("m"), edges.select("source", "size", F.col("__part").alias("part"), "passes", "take", "here").alias("e")
-    placed = m.join(e, F.expr("m.source <=> e.source and m.size = e.size and m.__part = e.part"), "left").select(
-        *[F.col(f"m.{c}") for c in columns], F.col("m.__mark"), F.col("m.__part"), "passes", "take", "here")
-    ranked = F.row_number().over(Window.partitionBy("source", "size", "__part").orderBy("__mark", "id"))
-    sure = placed.where("take is null or take = 0 or take = here").withColumn("extra", F.when(F.col("take") > 0, 1).otherwise(0))
-    split = placed.where("take > 0 and take < here").withColumn("extra", F.when(ranked <= F.col("take"), 1).otherwise(0))
-    done = sure.unionByName(split).withColumn("copies", F.coalesce(F.col("passes") + F.col("extra"), F.lit(0)).cast("long"))
+    cuts = cut_lineage(_cuts(marked.where("size > 0").select("source", "size", "__part", "__mark"), plan))
+    # One row per source and length: lengths add up to the words, so the distinct ones are about a root of them, and no text is shuffled.
+    m, c = marked.alias("m"), F.broadcast(cuts.select(F.col("source").alias("__source"), F.col("size").alias("__size"), "passes", "cut_part", "take", "cut_mark", "ties", "tied")).alias("c")
+    placed = m.join(c, F.expr("m.source <=> c.__source and m.size = c.__size"), "left").select("m.*", "passes", "cut_part", "take", "cut_mark", "ties", "tied")
+    # The last term holds for rows of the cut mark, all of which are taken or only some.
+    extra = F.expr("""case when cut_part is null or __part < cut_part then 1 when __part > cut_part or take = 0 then 0
+                      when __mark < cut_mark then 1 when __mark > cut_mark then 0 when ties = tied then 1 end""")
+    placed = placed.withColumn("extra", extra)
+    done = placed.where("extra is not null")
+    if not cuts.where("ties < tied").isEmpty():
+        ranked = F.row_number().over(Window.partitionBy("source", "size").orderBy("id"))
+        done = done.unionByName(placed.where("extra is null").withColumn("extra", F.when(ranked <= F.col("ties"), 1).otherwise(0)))
+    done = done.withColumn("copies", F.coalesce(F.col("passes") + F.col("extra"), F.lit(0)).cast("long"))
     d, f = done.alias("d"), facts.alias("f")
-    return d.join(f, F.expr("d.source <=> f.source")).select(*[F.col(f"d.{c}") for c in columns], "source_size", "target", "copies")
+    return d.join(F.broadcast(f), F.expr("d.source <=> f.source")).select(*[F.col(f"d.{c}") for c in columns], "source_size", "target", "copies")
+
+
+def _cuts(marks: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source and length, where the documents that are taken end: all parts before ``cut_part`` are taken, and of that one ``take`` documents,
+    those of a mark below ``cut_mark`` and ``ties`` of the ``tied`` ones of that mark. Without a ``cut_part`` all are taken.
+    """
+    keys = ["source", "size"]
+    same = F.expr("p.source <=> q.source and p.size = q.size")
+    parts = marks.groupBy(*keys, "__part").agg(F.count("*").alias("here"))
+    ended = parts.withColumn("end", F.sum("here").over(Window.partitionBy(*keys).orderBy("__part")))
+    q = F.broadcast(plan).alias("q")
+    over = ended.alias("p").join(q, same).where("end > extra").select("p.source", "p.size", F.struct("__part", (F.col("extra") - F.col("end") + F.col("here")).alias("take")).alias("at"))
+    first = over.groupBy(*keys).agg(F.min("at").alias("at")).select(*keys, F.col("at.__part").alias("cut_part"), F.col("at.take").alias("take"))
+    first = cut_lineage(plan.alias("p").join(first.alias("q"), same, "left").select("p.*", "cut_part", "take"))
+    q = F.broadcast(first.where("take > 0")).alias("q")
+    inside = marks.alias("p").join(q, same).where("__part = cut_part").select("p.source", "p.size", "__mark", "take")
+    tied = inside.groupBy(*keys, "__mark", "take").agg(F.count("*").alias("tied"))
+    tied = tied.withColumn("end", F.sum("tied").over(Window.partitionBy(*keys).orderBy("__mark"))).where("end >= take and end - tied < take")
+    last = tied.select(*keys, F.col("__mark").alias("cut_mark"), (F.col("take") - F.col("end") + F.col("tied")).alias("ties"), "tied")
+    return first.alias("p").join(last.alias("q"), same, "left").select("p.*", "cut_mark", "ties", "tied")
 
 
 def take_mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", seed: int = 0) -> DataFrame:

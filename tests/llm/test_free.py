@@ -354,3 +354,20 @@ def test_hot_lengths_are_split_exactly(spark):
     df = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"))
     found = budget.mix(df).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target")).collect()
     assert all(0 <= r["target"] - r["taken"] < 3 for r in found)
+
+
+def test_mix_shuffles_no_text_and_counts_ties(spark):
+    """Many rows of one null id and length tie; of every length as many are taken as the plan says, on any partitioning."""
+    rows = [(None if i % 3 else i, "a b c" if i % 2 else "a b c d e", "st"[i % 5 == 0]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sums = []
+    for n in (2, 7):
+        got = budget.mix(df.repartition(n)).groupBy("source", "size").agg(F.sum("copies").alias("copies"), F.max("target").alias("target"), F.count("*").alias("n")).collect()
+        sums.append(sorted((r["source"], r["size"], r["copies"], r["n"]) for r in got))
+        for source in "st":
+            some = [r for r in got if r["source"] == source]
+            assert abs(sum(r["size"] * r["copies"] for r in some) - some[0]["target"]) < 5
+    assert sums[0] == sums[1] and sum(r[3] for r in sums[0]) == 900
+    plan = budget.take_mix(df)._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning(source" in line and "size" in line]
+    assert len(exchanged) <= 1  # only rows that tie at the end of a length
