@@ -1,6 +1,7 @@
 """URL rules, exact duplicates, repeated lines and rotated dialogues."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,33 @@ def test_lines_of_odd_documents(odd_docs, no_docs):
     assert lines.line_report(no_docs).count() == 0 and lines.drop_lines(no_docs).count() == 0
 
 
+def test_open_buckets_hand_on_few_pairs_below_the_threshold(spark):
+    """Copies of one line at 0.7 to 0.78 share a bucket: nearly all of their pairs are ruled out before texts are met, alike ones never."""
+    dice = random.Random(3)
+    base = "".join(dice.choices("abcdefghijklmnop ", k=400)).strip()
+
+    def changed(line, n):
+        letters = list(line)
+        for i in dice.sample(range(len(line)), n):
+            letters[i] = letters[i].upper() + "!"
+        return "".join(letters)
+
+    texts = [changed(base, 6) for _ in range(60)]
+    texts += [changed(x, 2) for x in texts[:6]] + [x[:200] * 3 for x in texts[:6]]
+    found = lines.occurrences(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "text", "doc_id")
+    keyed = lines.cut_lineage(lines.bands(found))
+    ends = keyed.agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    members = keyed.crossJoin(ends).select(F.lit(1).cast("long").alias("band"), "h", "low", "high", "bits", "most")
+    groups = spark.createDataFrame([], "node bigint, component bigint")
+    met = {(r["a"], r["b"]) for r in lines._open_pairs(members, groups, found).collect()}
+    low, high = ends.first()
+    sets = sorted((r["h"], _shingles(r["line"])) for r in found.select("h", "line").distinct().collect() if r["h"] not in (low, high))
+    alike = {(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[i + 1:] if _similar(x, y)}
+    assert alike and alike <= met and len(met) - len(alike) < 0.05 * len(sets) * (len(sets) - 1) / 2
+    few = members.where(F.col("h").isin(low, high, sets[0][0]))  # with two leaders no pair is left
+    assert lines._open_pairs(few, groups, found).isEmpty()
+
+
 def _exact_by_hand(rows):
     groups = {}
     for i, text in rows:
