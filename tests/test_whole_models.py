@@ -58,3 +58,8 @@ def _settings_of(spark, sf_dir, monkeypatch, name):
 def test_boosted_queries_grow_the_published_trees(spark, sf_dir, monkeypatch, name):
     s = _settings_of(spark, sf_dir, monkeypatch, name)
     assert (s.rounds, s.depth, s.rate, s.rows, s.columns, s.l2) == (500, 6, 0.05, 0.8, 0.8, 1.0)
+
+
+def test_boosted_regression_is_the_published_one(spark, sf_dir, monkeypatch):
+    s = _settings_of(spark, sf_dir, monkeypatch, "gbt_regression")
+    assert (s.rounds, s.depth, s.rate, s.rows, s.columns) == (500, 6, 0.05, 0.8, 0.8)
