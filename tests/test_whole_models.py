@@ -63,3 +63,19 @@ def test_boosted_queries_grow_the_published_trees(spark, sf_dir, monkeypatch, na
 def test_boosted_regression_is_the_published_one(spark, sf_dir, monkeypatch):
     s = _settings_of(spark, sf_dir, monkeypatch, "gbt_regression")
     assert (s.rounds, s.depth, s.rate, s.rows, s.columns) == (500, 6, 0.05, 0.8, 0.8)
+
+
+def _search_of(spark, sf_dir, monkeypatch, name):
+    """The settings of all draws of an early stopped search, and its wait."""
+    seen = []
+    monkeypatch.setattr(B, "training_errors", lambda train, row_id, check, settings, patience, *_: seen.append((settings, patience)) or [1.0, 0.5, 0.6])
+    monkeypatch.setattr(B, "boost", lambda *a: (_ for _ in ()).throw(_Seen()))
+    with pytest.raises(_Seen):
+        catalog.QUERIES[name](spark, sf_dir)
+    return seen
+
+
+def test_early_stop_makes_the_published_draws(spark, sf_dir, monkeypatch):
+    seen = _search_of(spark, sf_dir, monkeypatch, "gbt_early_stop")
+    assert len(seen) == 20 and all(s.rounds == 2000 and wait == 50 and s.loss == "squared" and 3 <= s.depth <= 12 for s, wait in seen)
+    assert max(s.depth for s, _ in seen) > 6
