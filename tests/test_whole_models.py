@@ -79,3 +79,8 @@ def test_early_stop_makes_the_published_draws(spark, sf_dir, monkeypatch):
     seen = _search_of(spark, sf_dir, monkeypatch, "gbt_early_stop")
     assert len(seen) == 20 and all(s.rounds == 2000 and wait == 50 and s.loss == "squared" and 3 <= s.depth <= 12 for s, wait in seen)
     assert max(s.depth for s, _ in seen) > 6
+
+
+def test_absolute_loss_search_makes_the_published_draws(spark, sf_dir, monkeypatch):
+    seen = _search_of(spark, sf_dir, monkeypatch, "gbt_l1")
+    assert len(seen) == 20 and all(s.rounds == 2000 and wait == 50 and s.loss == "absolute" and 4 <= s.depth <= 8 for s, wait in seen)
