@@ -84,3 +84,16 @@ def test_early_stop_makes_the_published_draws(spark, sf_dir, monkeypatch):
 def test_absolute_loss_search_makes_the_published_draws(spark, sf_dir, monkeypatch):
     seen = _search_of(spark, sf_dir, monkeypatch, "gbt_l1")
     assert len(seen) == 20 and all(s.rounds == 2000 and wait == 50 and s.loss == "absolute" and 4 <= s.depth <= 8 for s, wait in seen)
+
+
+def test_random_search_draws_from_the_published_space(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def stop(estimator, train, params=None):
+        seen.append(estimator.copy(params or {}).settings())
+        raise _Seen
+    monkeypatch.setattr(M.GBTRegressor, "fit", stop)
+    monkeypatch.setattr(M, "_param_maps", lambda e, space, draws, seed: seen.append((space, draws)) or [{e.maxIter: 700, e.maxDepth: 8}])
+    with pytest.raises(_Seen):
+        catalog.QUERIES["random_search"](spark, sf_dir)
+    assert seen[0] == (M.GBT_SEARCH, 15) and seen[1].rounds == 700 and seen[1].depth == 8
