@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,41 @@ def test_random_search_draws_from_the_published_space(spark, sf_dir, monkeypatch
     with pytest.raises(_Seen):
         catalog.QUERIES["random_search"](spark, sf_dir)
     assert seen[0] == (M.GBT_SEARCH, 15) and seen[1].rounds == 700 and seen[1].depth == 8
+
+
+@pytest.mark.parametrize("finished, dealt", [(10 ** 6, 10 ** 6), (40, 700)])
+def test_trees_of_a_forest_grow_to_their_ends(spark, monkeypatch, finished, dealt):
+    """Rows that a tree drew get their own label wherever no other row has the same bins; the score is that of a loop over trees."""
+    monkeypatch.setattr(B, "FINISHED", finished)
+    monkeypatch.setattr(B, "DEALT", dealt)
+    df, x, y = _table(spark, 300, seed=13)
+    forest, score = B.bagged_forest(df, "id", 5)
+    u = np.array([r["u"] for r in df.select(F.xxhash64(F.lit(B.Settings().seed), "id").alias("u"), "id").orderBy("id").collect()])
+    bins = np.stack([np.where(np.isnan(x[:, i]), B.MISSING, np.searchsorted(c, x[:, i], side="right")) for i, c in enumerate(forest.cuts)]).astype(np.uint8)
+    assert len(np.unique(bins.T, axis=0)) > 290
+    ends = {(r["tree"], r["node"]): B.unpacked_tree(r["packed"]) for _, table in forest.ends for r in table.collect()}
+    total, n, every = np.zeros(300), np.zeros(300), np.zeros(300)
+    for t, top in enumerate(forest.tops):
+        weight, found = B.bootstrap_weights(u, t), np.zeros(300)
+        for node, rows in top.parts(bins, np.arange(300)):
+            end = ends[t, node]
+            leaf = end.leaf_of(bins.T[rows])
+            found[rows] = end.value[leaf]
+            assert end.weight[0] == weight[rows].sum()
+        drawn = weight > 0
+        like = [drawn & (bins == bins[:, [i]]).all(axis=0) for i in range(300)]
+        assert found[drawn] == pytest.approx([np.average(y[r], weights=weight[r]) for r, d in zip(like, drawn, strict=True) if d], abs=1e-5)
+        total, n, every = total + found * ~drawn, n + ~drawn, every + found
+    known = n > 0
+    rest = y[known] - total[known] / n[known]
+    assert score["n"] == known.sum() and score["r2"] == pytest.approx(1 - (rest ** 2).mean() / y[known].var(), abs=1e-9)
+    got = {r["id"]: r["prediction"] for r in forest.transform(df).collect()}
+    assert [got[i] for i in range(300)] == pytest.approx(every / 5, abs=1e-12)
+
+
+def test_registered_forest_has_no_depth(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(B, "_whole_forest", lambda train, row_id, trees, s, *_: seen.append((trees, s.depth, s.columns, s.rows)) or (_ for _ in ()).throw(_Seen()))
+    with pytest.raises(_Seen):
+        catalog.QUERIES["forest_out_of_bag"](spark, sf_dir)
+    assert seen[0][:3] == (100, None, 1.0)
