@@ -109,6 +109,12 @@ def predict(model: Model, df: DataFrame, name: str = "predicted") -> DataFrame:
 
 # --- fixed models --------------------------------------------------------------------------------
 
+def row_columns(train: DataFrame, features: str, label: str) -> list[str]:
+    """The columns that tell rows apart: those beside features, label, marks and folds, or else features and label."""
+    known = [features, label]
+    return [c for c, kind in train.dtypes if c not in [*known, "fold"] and kind != "boolean"] or known
+
+
 class BoostedTrees(GBTRegressor):
     """Second-order boosted trees under the parameters of MLlib's: ``subsamplingRate`` and ``featureSubsetStrategy`` are the shares of a tree.
 
@@ -122,12 +128,8 @@ class BoostedTrees(GBTRegressor):
                                  rows=self.getSubsamplingRate(), columns=1.0 if share in ("all", "auto") else float(share), loss=self.getLossType(),
                                  measure=self.getLossType(), seed=self.getSeed())
 
-    def ids(self, train: DataFrame) -> list[str]:
-        known = [self.getFeaturesCol(), self.getLabelCol()]
-        return [c for c, kind in train.dtypes if c not in [*known, "fold"] and kind != "boolean"] or known
-
     def _fit(self, dataset: DataFrame) -> "BoostedModel":
-        trees = boosting.boost(dataset, self.ids(dataset), self.settings(), self.getFeaturesCol(), self.getLabelCol())
+        trees = boosting.boost(dataset, row_columns(dataset, self.getFeaturesCol(), self.getLabelCol()), self.settings(), self.getFeaturesCol(), self.getLabelCol())
         return BoostedModel(trees, self.getMaxDepth(), self.getLabelCol())
 
 
@@ -158,8 +160,27 @@ def boosted_trees(features: str = "features", seed: int = defaults.SEED, **param
     return BoostedTrees(featuresCol=features, seed=seed, **{**GBT_FIXED, **params})
 
 
+#: Levels up to which a forest grows from histograms, all trees in the passes of one.
+LOW = 8
+
+
+class LowForest(RandomForestRegressor):
+    """Forests of few levels on all features, grown from histograms: MLlib keeps a number per row and tree, here a hash of the row tells it.
+
+    Deeper forests, and those on some of the features per node, are MLlib's.
+    """
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        if self.getMaxDepth() > LOW or self.getFeatureSubsetStrategy() != "all":
+            return super()._fit(dataset)
+        s = boosting.Settings(depth=self.getMaxDepth(), columns=1.0, bins=self.getMaxBins(), min_weight=self.getMinInstancesPerNode(), seed=self.getSeed())
+        ids = row_columns(dataset, self.getFeaturesCol(), self.getLabelCol())
+        trees = boosting.forest(dataset, ids, self.getNumTrees(), s, self.getFeaturesCol(), self.getLabelCol())
+        return BoostedModel(trees, self.getMaxDepth(), self.getLabelCol())
+
+
 def random_forest(features: str = "features", seed: int = defaults.SEED, **params) -> RandomForestRegressor:
-    return RandomForestRegressor(featuresCol=features, seed=seed, **{"numTrees": FOREST_TREES, **params})
+    return LowForest(featuresCol=features, seed=seed, **{"numTrees": FOREST_TREES, **params})
 
 
 def ridge(train: DataFrame, alpha: float = RIDGE_ALPHA, features: str = "features") -> Model:

@@ -136,3 +136,24 @@ def test_registered_forest_has_no_depth(spark, sf_dir, monkeypatch):
     with pytest.raises(_Seen):
         catalog.QUERIES["forest_out_of_bag"](spark, sf_dir)
     assert seen[0][:3] == (100, None, 1.0)
+
+
+def test_low_forests_are_means_of_drawn_rows(spark, monkeypatch):
+    """A stump forest by hand; MLlib, which holds a weight per row and tree, is not asked."""
+    monkeypatch.setattr(M.RandomForestRegressor, "_fit", lambda *_: pytest.fail("fitted by MLlib"))
+    df, x, y = _table(spark, 400, seed=14)
+    model = M.random_forest(numTrees=6, maxDepth=1, featureSubsetStrategy="all").fit(df)
+    u = np.array([r["u"] for r in df.select(F.xxhash64(F.lit(M.random_forest().getSeed()), "id").alias("u"), "id").orderBy("id").collect()])
+    got = {r["id"]: r["prediction"] for r in model.transform(df).collect()}
+    want = np.zeros(400)
+    for t, tree in enumerate(model.trees.trees):
+        weight, f = B.bootstrap_weights(u, t), tree.feature[0]
+        left = np.where(np.isnan(x[:, f]), tree.missing_left[0], x[:, f] < model.trees.cuts[f][tree.cut[0]])
+        want += np.where(left, np.average(y[left], weights=weight[left]), np.average(y[~left], weights=weight[~left])) / 6
+    assert [got[i] for i in range(400)] == pytest.approx(want, abs=1e-5) and model.getNumTrees == 6
+
+
+def test_draws_by_head_are_those_of_all_bits():
+    u = np.random.default_rng(15).integers(-2 ** 62, 2 ** 62, 300_000)
+    x = B._mixed(u, 4)
+    assert (B.bootstrap_weights(u, 4) == sum((x >= least).astype(np.int64) for least in B.POISSON_BITS)).all()
