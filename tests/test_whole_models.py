@@ -157,3 +157,13 @@ def test_draws_by_head_are_those_of_all_bits():
     u = np.random.default_rng(15).integers(-2 ** 62, 2 ** 62, 300_000)
     x = B._mixed(u, 4)
     assert (B.bootstrap_weights(u, 4) == sum((x >= least).astype(np.int64) for least in B.POISSON_BITS)).all()
+
+
+def test_saved_models_predict_the_same(spark, tmp_path):
+    df = _table(spark, 300, seed=16)[0]
+    model = M.boosted_trees(maxIter=3, maxDepth=3, stepSize=0.5).fit(df)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = M.BoostedModel.load(spark, str(tmp_path / "m"))
+    both = again.transform(model.transform(df).withColumnRenamed("prediction", "p"))
+    assert both.where("p is distinct from prediction").count() == 0 and again.getMaxDepth() == 3 and again.getNumTrees == 3
